@@ -294,12 +294,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each class: the one with the smallest id (null last; of repeated rows one). All columns stay."""
     found = written(jaccard_classes(docs, id_col, text_col), "classes")
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "rid", "content_id")).alias("k")
-    keep = found.groupBy("root").agg(best).select("k.*").join(found.groupBy("doc_id", "content_id").agg(F.count("*").alias("rows")).withColumnsRenamed({"doc_id": "i", "content_id": "c"}), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("content_id") == F.col("c")))
-    keep = written(keep.select(F.col("doc_id").alias("__id"), F.col("content_id").alias("__content"), "rows"), "keep")
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).getField("rid").alias("kept")
+    groups = found.groupBy("root").agg(best, F.count("*").alias("rows")).where("rows > 1").select("root", "kept")
+    keys = found.join(groups, "root").groupBy(F.col("doc_id").alias("__id"), F.col("content_id").alias("__content"))
+    # rows with equal id and text are one key: it goes if none of its rows is kept, and stays once if one of several is
+    gone = written(keys.agg(F.max((F.col("rid") == F.col("kept")).cast("int")).alias("kept"), F.count("*").alias("rows")).where("kept = 0 or rows > 1"), "gone")
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__content"))
-    kept = docs.join(keep.where("rows = 1"), same, "left_semi")
-    if keep.where("rows > 1").isEmpty():
-        return kept
-    again = docs.join(keep.where("rows > 1").select("__id", "__content").distinct(), same)
-    return kept.unionByName(again.dropDuplicates(["__id", "__content"]).select(*docs.columns))
+    left = docs.join(side, same, "left_anti")
+    if gone.where("kept = 1").isEmpty():
+        return left
+    once = docs.join(gone.where("kept = 1"), same).dropDuplicates(["__id", "__content"])
+    return left.unionByName(once.select(*docs.columns))
