@@ -194,7 +194,7 @@ def matches(prints: DataFrame, is_query) -> DataFrame:
     asked = written(classes.join(wanted, "cls", "left_semi"), "queries")
     n_rows, n_queries = classes.count(), asked.count()
     rb, qb = -(-n_rows // ROW_BLOCK) or 1, -(-n_queries // QUERY_BLOCK) or 1
-    spread = lambda df, own, blocks, other, others, wants: df.select("cls", "print", F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).cast("int").alias(other), F.lit(wants).alias("wants"))
+    spread = lambda df, own, blocks, other, others, wants: df.select("cls", "print", F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other), F.lit(wants).alias("wants"))
     both = spread(classes, "rb", rb, "qb", qb, False).unionByName(spread(asked, "qb", qb, "rb", rb, True))
     best = both.repartition("rb", "qb").sortWithinPartitions("rb", "qb", "wants", "cls").mapInArrow(_search, "cls long, hit long, offset long, votes long, overlap long, ber double")
     best = best.groupBy("cls").agg(F.min(F.struct("ber", (-F.col("overlap")).alias("o"), (-F.col("votes")).alias("v"), F.col("hit"), F.col("offset"))).alias("b"))

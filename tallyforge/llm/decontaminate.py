@@ -97,8 +97,7 @@ def _scan(sizes: dict[int, np.ndarray]):
                         cut = np.flatnonzero(np.diff(pairs[0])) + 1
                         for rows, marks in zip(np.split(pairs[0], cut), np.split(pairs[1], cut), strict=True):
                             held[rows[0]] = (held[rows[0]] or []) + known[marks].view(np.int64).tolist()
-                mask = pa.array([h is None for h in held])
-                text = pa.compute.if_else(mask, pa.scalar(None, part.column("text").type), part.column("text"))
+                text = part.column("text").take(pa.array([None if h is None else i for i, h in enumerate(held)], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("rid"), part.column("doc_id"), pa.array(w.count.astype(np.int64)), text, pa.array(held, pa.list_(pa.int64()))],
                     names=["rid", "doc_id", "n_words", "text", "held"],

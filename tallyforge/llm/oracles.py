@@ -63,9 +63,9 @@ DECONTAMINATE = f"""
 WITH d AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents), i AS (SELECT item_id, {_WORDS.format("text")} AS w FROM benchmark),
 x AS (SELECT DISTINCT item_id, len(w) AS n, least(len(w), 10) AS k, unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda p: array_to_string(w[p:p + least(len(w), 10) - 1], ' '))) AS g FROM i WHERE len(w) > 0),
 k AS (SELECT DISTINCT k FROM x),
-p AS (SELECT doc_id, k.k AS k, unnest(range(1, len(w) - k.k + 2)) AS at, w FROM d, k WHERE len(w) >= k.k),
-h AS (SELECT p.doc_id, p.at, p.k, x.item_id FROM p JOIN x ON x.k = p.k AND x.g = array_to_string(p.w[p.at:p.at + p.k - 1], ' ')),
-c AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(at, at + k)) AS at FROM h) GROUP BY doc_id),
+p AS (SELECT doc_id, k.k AS k, unnest(range(1, len(w) - k.k + 2)) AS pos, w FROM d, k WHERE len(w) >= k.k),
+h AS (SELECT p.doc_id, p.pos, p.k, x.item_id FROM p JOIN x ON x.k = p.k AND x.g = array_to_string(p.w[p.pos:p.pos + p.k - 1], ' ')),
+c AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + k)) AS pos FROM h) GROUP BY doc_id),
 m AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
 SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id

@@ -34,7 +34,8 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = blob_ledger.by_path(docs, ledger, "doc_id")
     base = F.filter("findings", lambda f: f["kind"].isin(*blob_ledger.BASE))
     listed: Callable[[Column], Column] = lambda fs: F.array_join(F.transform(fs, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
-    counts = [F.size(F.filter("findings", lambda f, k=k: f["kind"] == k)).cast("long").alias(f"n_{k}") for k in blob_ledger.BASE]
+    count: Callable[[str], Column] = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long")
+    counts = [count(k).alias(f"n_{k}") for k in blob_ledger.BASE]
     return found.select(F.col("path").alias("doc_id"), *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("findings")).alias("spans"))
 
 
