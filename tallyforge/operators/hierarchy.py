@@ -144,13 +144,13 @@ def solve_tables(rows: DataFrame, keys: list[str]) -> DataFrame:
     kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
     solved = f"array<struct<{ROWS.replace(' ', ':').replace(',:', ',')},checks:array<struct<{CHECKS.replace(' ', ':').replace(',:', ',')}>>>>"
     fields = ("row_idx", "label", "nums", "kinds", "indent", "decimal")
-    packed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("t"))
+    packed = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("__table"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array([_solve(t) for t in batch.column("t").to_pylist()], _SOLVED)], names=[*keys, "s"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array([_solve(t) for t in batch.column("__table").to_pylist()], _SOLVED)], names=[*keys, "__solved"])
 
-    return packed.mapInArrow(run, f"{kinds}, s {solved}").select(*keys, F.explode("s").alias("s")).select(*keys, "s.*")
+    return packed.mapInArrow(run, f"{kinds}, __solved {solved}").select(*keys, F.explode("__solved").alias("__s")).select(*keys, "__s.*")
 
 
 def _solve(table: list[dict]) -> list[dict]:

@@ -44,15 +44,15 @@ def group_lines(words: DataFrame, tolerance: float = fixed.LINE_TOLERANCE, keys:
     keys = keys or PAGE
     kinds = ", ".join(f"{k} {words.schema[k].dataType.simpleString()}" for k in keys)
     others = [c for c in words.columns if c not in keys]
-    page = words.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(centre().alias("c"), "pos", F.struct(*others).alias("w")))).alias("t"))  # a page's words
+    page = words.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(centre().alias("c"), "pos", F.struct(*others).alias("w")))).alias("__t"))  # a page's words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            numbers = [_line_numbers([w["c"] for w in t], tolerance) for t in batch.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), batch.column("t"), pa.array(numbers, pa.list_(pa.int32()))], names=[*keys, "t", "n"])
+            numbers = [_line_numbers([w["c"] for w in t], tolerance) for t in batch.column("__t").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), batch.column("__t"), pa.array(numbers, pa.list_(pa.int32()))], names=[*keys, "__t", "__n"])
 
-    numbered = page.mapInArrow(run, f"{kinds}, t {page.schema['t'].dataType.simpleString()}, n array<int>")
-    flat = numbered.select(*keys, F.explode(F.arrays_zip("t", "n")).alias("x")).select(*keys, *(F.col(f"x.t.w.{c}").alias(c) for c in others), F.col("x.n").alias("line_no"))
+    numbered = page.mapInArrow(run, f"{kinds}, __t {page.schema['__t'].dataType.simpleString()}, __n array<int>")
+    flat = numbered.select(*keys, F.explode(F.arrays_zip("__t", "__n")).alias("__x")).select(*keys, *(F.col(f"__x.__t.w.{c}").alias(c) for c in others), F.col("__x.__n").alias("line_no"))
     return flat.select(*words.columns, "line_no")
 
 
