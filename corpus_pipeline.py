@@ -14,8 +14,8 @@ from tallyforge.llm.storage import written
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language can be told (null texts and texts without a letter) go; a missing label is filled in."""
     known = language_hd.prototypes(docs.where(language_hd.fold("doc_id") != 2))
-    judged = language_hd.predictions(docs, known).where(F.col("lang_pred") != language_hd.UNDETERMINED)
-    return judged.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    judged = language_hd.predictions(docs.select(F.struct("*").alias("row"), "text"), known).where(F.col("lang_pred") != language_hd.UNDETERMINED)
+    return judged.select(F.col("row").withField("lang", F.coalesce("row.lang", "lang_pred")).alias("row")).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.storage import written
+from tallyforge.llm.storage import bounded_batches, written
 from tallyforge.llm.words import grams, slices, words
 
 WINDOW = 10
@@ -185,6 +185,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[DataFrame]
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, ranges) of every document; ranges are merged word positions [from, to, ...] of its hits."""
     spark = docs.sparkSession
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     blocks = _blocks(benchmark, item_col, item_text_col)
     if len(blocks) > 1:  # all blocks need the same numbers

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.graph import components
-from tallyforge.llm.storage import written
+from tallyforge.llm.storage import bounded_batches, written
 from tallyforge.llm.words import mix, shingle_sets, slices, words
 
 SHINGLE = 5
@@ -250,6 +250,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     root identifies the class within the run and class_id is the smallest id in it; a class is a component of the link graph. n_links is the number of other
     documents with a similarity of 0.8 or more, copies included. rid numbers the rows of one run.
     """
+    bounded_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("cid"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
     rows = written(base.mapInArrow(_sketch, f"rid long, doc_id {kind}, cid long, set_a long, set_b long, n int, bands array<long>, sig binary"), "sketches")
@@ -299,10 +300,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     keys = found.join(groups, "root").groupBy(F.col("doc_id").alias("__id"), F.col("content_id").alias("__content"))
     # rows with equal id and text are one key: it goes if none of its rows is kept, and stays once if one of several is
     gone = written(keys.agg(F.max((F.col("rid") == F.col("kept")).cast("int")).alias("kept"), F.count("*").alias("rows")).where("kept = 0 or rows > 1"), "gone")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    side = gone.select("__id", "__content")
+    side = F.broadcast(side) if gone.count() <= BROADCAST_ROWS else side
     same = F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__content"))
     left = docs.join(side, same, "left_anti")
     if gone.where("kept = 1").isEmpty():
         return left
-    once = docs.join(gone.where("kept = 1"), same).dropDuplicates(["__id", "__content"])
+    once = docs.join(gone.where("kept = 1").select("__id", "__content"), same).dropDuplicates(["__id", "__content"])
     return left.unionByName(once.select(*docs.columns))

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.storage import bounded_batches
+
 DIMENSIONS = 512
 #: Letter classes: 0 is what stands between words, 1-26 a to z; other letters share the rest by code point.
 CLASSES = 128
@@ -116,6 +118,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> list[tuple[str, np.ndarray]]:
     """Centred prototypes from all labelled rows, by language name; the driver gets DIMENSIONS numbers for each language."""
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).where("lang is not null and text is not null")
     sums = rows.mapInArrow(_learn, "lang string, n long, bundle array<long>").select("lang", "n", F.posexplode("bundle").alias("at", "x")).groupBy("lang", "at").agg(F.sum("n").alias("n"), F.sum("x").alias("x"))
     by: dict[str, np.ndarray] = {}
@@ -126,6 +129,7 @@ def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "tex
 
 def predictions(docs: DataFrame, known: list[tuple[str, np.ndarray]], text_col: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (the larger of 0 and the cosine) added; the other columns pass through."""
+    bounded_batches(docs.sparkSession)
     names = [n for n, _ in known]
     matrix = np.stack([v for _, v in known]) if known else np.zeros((0, DIMENSIONS))
     mean = matrix.mean(0) if len(names) > 1 else np.zeros(DIMENSIONS)

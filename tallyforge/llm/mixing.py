@@ -1,4 +1,4 @@
-"""Mixing sources to target weights by systematic sampling, in DataFrame functions only.
+"""Mixing sources to target weights by systematic sampling.
 
 Within a source every document has the same expected number of copies, the source's target over its size. The
 prefix sums of the expected copies, plus one random offset for the source, cross integers; a document is emitted once for each
@@ -16,10 +16,16 @@ read: the columns in use are renamed first.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tallyforge.llm.storage import written
+from tallyforge.llm.storage import bounded_batches, written
+from tallyforge.llm.words import slices, utf8
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -29,12 +35,31 @@ SEED = 20240607
 CELL_ROWS = 200_000
 #: Most cells (about 40 bytes each) that are broadcast to the rows; beyond it the same join shuffles. As much holds for sources.
 BROADCAST_ROWS = 500_000
-#: Words are runs of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]++"
 
 
-def word_count(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+def _sizes(column: pa.Array) -> np.ndarray:
+    data, offsets = utf8(column)
+    space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    starts = ~space
+    starts[1:] &= space[:-1]
+    first = offsets[:-1][offsets[:-1] < offsets[1:]]
+    starts[first] = ~space[first]  # a row begins anew
+    total = np.concatenate([[0], np.cumsum(starts)])
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def with_size(df: DataFrame, text_col: str, keep_text: bool = True) -> DataFrame:
+    """``df`` with ``size``, the number of runs of anything but ASCII white space in the text (null: 0); counted on bytes, a batch at a time."""
+    bounded_batches(df.sparkSession)
+    kept = [c for c in df.columns if keep_text or c != text_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(text_col)
+            sizes = [_sizes(text.slice(low, high - low)) for low, high in slices(text)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(np.concatenate(sizes) if sizes else [], pa.int64())], names=[*kept, "size"])
+
+    return df.mapInArrow(run, StructType([df.schema[c] for c in kept]).add("size", "long"))
 
 
 def _unit(*cols) -> Column:
@@ -60,10 +85,13 @@ def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WE
     return out
 
 
-def sampled(sized: DataFrame, key_cols: list[str], seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
-    """``sized`` (columns ``size`` and ``source`` and ``key_cols``, which order equal sizes) with source_size, target and copies added."""
+def sampled(sized: DataFrame, narrow: DataFrame, key_cols: list[str], seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
+    """``sized`` (columns ``size`` and ``source`` and ``key_cols``, which order equal sizes) with source_size, target and copies added.
+
+    ``narrow`` has these columns of the same rows; what is counted beforehand is counted on it.
+    """
     spark = sized.sparkSession
-    sources = sized.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()  # one row a source
+    sources = narrow.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()  # one row a source
     goal = targets([(r["source"], r["n"]) for r in sources], weights, share, most)
     n_salts = 1 + max((r["rows"] for r in sources), default=0) // CELL_ROWS
     plan = spark.createDataFrame([(r["source"], r["n"], goal[r["source"]], goal[r["source"]] / r["n"] if r["n"] else 0.0) for r in sources], "__source string, source_size long, target double, expected double")
@@ -71,9 +99,10 @@ def sampled(sized: DataFrame, key_cols: list[str], seed: int = SEED, weights: tu
     octave = F.when(size > 0, F.floor(F.log2(size.cast("double")))).otherwise(0)
     size_class = F.when(size < 256, size).otherwise(256 + octave * 64 + F.floor((size / F.pow(F.lit(2.0), octave) - 1) * 64)).cast("long")
     # equal sizes are in random order; the salt is that order's upper part, so rows stay sorted by it over the salts of a class
-    rows = sized.withColumns({"__cell": -size_class, "__u": _unit(F.lit(seed), *key_cols)}).withColumn("__salt", F.floor(F.col("__u") * n_salts))
+    celled = lambda df: df.withColumns({"__cell": -size_class, "__u": _unit(F.lit(seed), *key_cols)}).withColumn("__salt", F.floor(F.col("__u") * n_salts))
+    rows = celled(sized)
     cell = ["source", "__cell", "__salt"]
-    counts = written(rows.groupBy(*cell).agg(F.count("*").alias("__rows")), "cells")
+    counts = written(celled(narrow).groupBy(*cell).agg(F.count("*").alias("__rows")), "cells")
     before = counts.withColumn("__before", F.sum("__rows").over(Window.partitionBy("source").orderBy("__cell", "__salt")) - F.col("__rows")).drop("__rows")
     at = before.withColumnsRenamed({"source": "__s", "__cell": "__c", "__salt": "__k"})
     if counts.count() <= BROADCAST_ROWS:
@@ -88,15 +117,22 @@ def sampled(sized: DataFrame, key_cols: list[str], seed: int = SEED, weights: tu
     return planned.withColumn("copies", F.when(size > 0, whole).otherwise(0).cast("long")).select(*sized.columns, "source_size", "target", "copies")
 
 
+def _narrow(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(doc_id, source, content, size), written once."""
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("content"), F.col(text_col).cast("string").alias("text"))
+    return written(with_size(base, "text", keep_text=False), "sizes")
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) of every document; reruns on the same rows agree."""
-    sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("content"))
-    out = sampled(sized, ["doc_id", "content"], seed)
-    return out.withColumn("taken", F.col("copies") * F.col("size")).drop("content")
+    narrow = _narrow(docs, id_col, text_col, source_col)
+    return sampled(narrow, narrow, ["doc_id", "content"], seed).withColumn("taken", F.col("copies") * F.col("size")).drop("content")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it's taken, with ``copy`` (from 1) added."""
-    sized = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"), F.xxhash64(F.col(text_col)).alias("content"))
-    taken = sampled(sized, ["doc_id", "content"], seed).where("copies > 0")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*", "copy")
+    """The mix itself: every row of ``docs`` as often as it's taken, with ``copy`` (from 1; another name if there is such a column) added."""
+    copy = next(n for n in ("copy", "copy_no", "copy_of_mix", "__copy") if n not in docs.columns)
+    narrow = _narrow(docs, id_col, text_col, source_col)
+    wide = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("content"), F.col(text_col).cast("string").alias("text"))
+    taken = sampled(with_size(wide, "text", keep_text=False), narrow, ["doc_id", "content"], seed).where("copies > 0")
+    return taken.withColumn("__copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*", F.col("__copy_no").alias(copy))

@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.storage import bounded_batches
+
 KINDS = ("email", "ip", "card", "phone")
 #: Documents that the model is fitted on, and the most characters of one.
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
@@ -244,6 +246,7 @@ def _model(docs: DataFrame, text_col: str) -> Model:
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every row."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(_model(docs, text_col))
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
@@ -266,6 +269,7 @@ def merged(base: list[Span], added: list[Span]) -> list[Span]:
 
 def masked(docs: DataFrame, text_col: str = "text", mark: str = "[{}]") -> DataFrame:
     """``docs`` with every span of its texts replaced by its kind; the other columns and rows without spans are as they were."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(_model(docs, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

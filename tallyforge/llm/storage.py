@@ -37,3 +37,14 @@ def discard(df_or_path, spark: SparkSession | None = None) -> None:
     for path in paths:
         at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(session.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: Rows of an Arrow batch where texts go to Python; Spark's default of 10,000 holds tens of MB of text in every worker.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Set smaller Arrow batches for the session, unless it already asks for other than the default."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))

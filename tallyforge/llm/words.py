@@ -57,7 +57,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes, so that working memory doesn't follow the batch size."""
     ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0)).astype(np.int64))
     low = 0
