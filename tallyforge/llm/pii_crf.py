@@ -240,7 +240,10 @@ def joined(spans: list[Span]) -> str:
 
 def _model(docs: DataFrame, text_col: str) -> Model:
     texts = docs.select(F.col(text_col).cast("string").alias("t")).where((F.length("t") <= SAMPLE_CHARS) & F.col("t").rlike(r"@|[0-9][\x20().0-9-]{5}"))
-    rows = texts.orderBy(F.xxhash64("t"), "t").limit(SAMPLE)
+    # about half again as many rows as wanted pass the first cut, so that partitions send the driver no more than the sample
+    share = min(1.0, 1.5 * SAMPLE / max(1, texts.count()))
+    few = texts.where(F.pmod(F.xxhash64(F.lit("sample"), "t"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = few.orderBy(F.xxhash64("t"), "t").limit(SAMPLE)
     return fit([r["t"] for r in rows.collect()])
 
 
