@@ -40,6 +40,7 @@ _DOTTED = re.compile(r"[0-9][0-9.]*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _RUN = re.compile(r"[+(]*[0-9][\x20().0-9-]*")
+_TOKEN = re.compile(r"[^\x20]+")
 _ACTIVE = re.compile(r"[0-9@]")
 _DIGIT = re.compile(r"[^0-9]+")
 
@@ -96,7 +97,7 @@ def base_spans(text: str) -> list[Span]:
     return [(a, b, KINDS[k]) for a, b, k in sorted(out, key=lambda s: (s[0], s[2]))]
 
 
-FEATURES = 12
+FEATURES, CHECKSUM = 12, 10
 
 
 def nodes(text: str, base: list[Span]) -> list[tuple[int, int, int, list[str], list[float]]]:
@@ -106,9 +107,11 @@ def nodes(text: str, base: list[Span]) -> list[tuple[int, int, int, list[str], l
         end = domain.end() if domain else _LOOSE_DOMAIN.match(text, at + 1).end()
         found.append((start, end))
     for m in _RUN.finditer(text):
-        s = m.group().rstrip(" .-(")
-        if sum(map(str.isdigit, s)) >= 7:
-            found.append((m.start(), m.start() + len(s)))
+        # a run of more digits than any kind has is several numbers side by side
+        for a, s in [(m.start(), m.group())] if sum(map(str.isdigit, m.group())) <= 19 else [(m.start() + t.start(), t.group()) for t in _TOKEN.finditer(m.group())]:
+            s = s.rstrip(" .-(")
+            if sum(map(str.isdigit, s)) >= 7:
+                found.append((a, a + len(s)))
     found.sort()
     out, last, b = [], -1, 0
     for start, end in found:
@@ -209,26 +212,26 @@ def posteriors(model: Model, x: np.ndarray, evidence: np.ndarray, edges: np.ndar
 
 
 def added_spans(texts: list[str], bases: list[list[Span]], model: Model) -> list[list[Span]]:
-    """The spans that message passing adds to each text; graphs without evidence for a free node's label add nothing else."""
+    """The spans that message passing adds to each text. A free node needs a skip edge or a valid checksum; its own looks aren't enough."""
     out: list[list[Span]] = [[] for _ in texts]
-    x, evidence, edges, skips, place = [], [], [], [], []
+    x, evidence, edges, skips, place, free = [], [], [], [], [], []
     for t, (text, base) in enumerate(zip(texts, bases, strict=True)):
-        if not base or not _ACTIVE.search(text):
-            continue
-        ns = nodes(text, base)
-        if all(n[2] >= 0 for n in ns):
+        ns = nodes(text, base) if _ACTIVE.search(text) else []
+        if not any(n[2] < 0 and (base or n[4][CHECKSUM]) for n in ns):
             continue
         at = len(x)
         x += [n[4] for n in ns]
         evidence += [n[2] for n in ns]
         place += [(t, n[0], n[1]) for n in ns]
         linked = skip_edges(ns)
+        held = {i for e in linked for i in e}
+        free += [n[2] < 0 and (i in held or n[4][CHECKSUM] == 1) for i, n in enumerate(ns)]
         near = [(i, i + 1) for i in range(len(ns) - 1) if (i, i + 1) not in set(linked)] if len(ns) < 1000 else []
         edges += [(at + i, at + j) for i, j in [*linked, *near]]
         skips += [True] * len(linked) + [False] * len(near)
     if x:
         p = posteriors(model, np.array(x), np.array(evidence), np.array(edges, np.int64).reshape(-1, 2), np.array(skips, bool))
-        for i in np.flatnonzero((np.array(evidence) < 0) & (p.argmax(1) > 0) & (p.max(1) >= MIN_POSTERIOR)).tolist():
+        for i in np.flatnonzero(np.array(free) & (p.argmax(1) > 0) & (p.max(1) >= MIN_POSTERIOR)).tolist():
             t, a, b = place[i]
             out[t].append((a, b, KINDS[int(p[i].argmax()) - 1]))
     return out

@@ -49,6 +49,8 @@ def test_skip_chain_consistency():
     typo = "Card 4111111111111111 was used; again 4111111111111112."
     assert [k for *_, k in added(typo)] == ["card"]
     assert added("Number 5551234567 alone, and card 4111111111111111.") == []  # nothing ties it to the card
+    two = "Cards 4111111111111111 5500000000000004 side by side."  # too many digits for one match
+    assert pii.base_spans(two) == [] and [two[a:b] for a, b, _ in added(two)] == ["4111111111111111", "5500000000000004"]
     assert added("Just 5551234567 and 5551234567.") == []
 
 
