@@ -32,6 +32,8 @@ WIDTH = 12
 CUTS = (-0.25, 0.0, 0.25)
 #: An offset needs so many equal integers.
 MIN_VOTES = 2
+#: An alignment shares so many frames at least, or all of the shorter recording; fewer agree too often by chance.
+MIN_OVERLAP = 24
 MAX_BIT_ERROR = 0.35
 ROW_BLOCK, QUERY_BLOCK = 4096, 1024
 
@@ -117,7 +119,7 @@ def fingerprints(media: DataFrame, id_col: str, audio_col: str) -> DataFrame:
 
 
 def aligned(queries: list[np.ndarray], rows: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-    """(query, row, offset, votes, bit errors, overlap) of each pair with MIN_VOTES or more, at its fullest offset (ties: the one nearest 0, then the smaller)."""
+    """(query, row, offset, votes, bit errors, overlap) of each pair with MIN_VOTES or more, at its fullest offset of enough overlap (ties: the one nearest 0, then the smaller)."""
     n_rows = np.array([len(r) for r in rows])
     value = np.concatenate(rows) if rows else np.zeros(0, np.uint32)
     row, at = np.repeat(np.arange(len(rows)), n_rows), np.concatenate([np.arange(n) for n in n_rows]) if len(rows) else np.zeros(0, int)
@@ -134,8 +136,11 @@ def aligned(queries: list[np.ndarray], rows: list[np.ndarray]) -> tuple[np.ndarr
         width = len(ints) + int(n_rows.max()) + 1
         key, votes = np.unique(row[i] * (2 * width) + (at[i] - np.repeat(np.arange(len(ints)), many)) + width, return_counts=True)
         r, offset = key // (2 * width), key % (2 * width) - width
+        shared = np.minimum(len(ints), n_rows[r] - offset) - np.maximum(0, -offset)
+        enough = shared >= np.minimum(MIN_OVERLAP, np.minimum(len(ints), n_rows[r]))
+        r, offset, votes = r[enough], offset[enough], votes[enough]
         best = np.lexsort((offset, np.abs(offset), -votes, r))
-        best = best[np.concatenate([[True], r[best][1:] != r[best][:-1]])]
+        best = best[np.concatenate([[True], r[best][1:] != r[best][:-1]])] if len(best) else best
         best = best[votes[best] >= MIN_VOTES]
         r, offset, votes = r[best], offset[best], votes[best]
         for low in range(0, len(r), 20_000):

@@ -54,6 +54,8 @@ def test_search_and_brute_force(spark, monkeypatch):
             for a, x in enumerate(rows[q]):
                 for b in np.flatnonzero(v == x):
                     votes[b - a] = votes.get(b - a, 0) + 1
+            shared = lambda o: min(len(rows[q]), len(v) - o) - max(0, -o)  # noqa: E731, B023
+            votes = {o: n for o, n in votes.items() if shared(o) >= min(chroma.MIN_OVERLAP, len(rows[q]), len(v))}
             if votes and max(votes.values()) >= chroma.MIN_VOTES:
                 off = min(votes, key=lambda o: (-votes[o], abs(o), o))
                 pairs = [(rows[q][a], v[a + off]) for a in range(len(rows[q])) if 0 <= a + off < len(v)]
