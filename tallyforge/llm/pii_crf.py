@@ -32,7 +32,9 @@ KINDS = ("email", "ip", "card", "phone")
 #: Documents that the model is fitted on, and the most characters of one.
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
 MIN_POSTERIOR = 0.9
-ROUNDS = 8
+#: Messages are passed on until none of them changes by more than TOLERANCE. One that has been passed on ROUNDS times is damped twice as much from then
+#: on (and again after as many), so that passing ends on graphs where it would swing; on trees it settles before, at any distance.
+TOLERANCE, ROUNDS = 1e-8, 200
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOOSE_DOMAIN = re.compile(r"[A-Za-z0-9.-]*")
@@ -137,15 +139,32 @@ def nodes(text: str, base: list[Span]) -> list[tuple[int, int, int, list[str], l
 
 
 def skip_edges(ns: list[tuple]) -> list[tuple[int, int]]:
-    """Each node with the last one before it of the same key; halves of the digits only count if at most one digit differs."""
-    seen: dict[str, int] = {}
+    """Each node with the first match of each kind of the same key, so that repeats neither move away from the evidence nor outvote it.
+
+    Nodes of a key without a match: each with the first of them; of those that another key ties to a match, only the first is tied to them.
+    Of halves of the digits, the last one before a node counts, if one digit differs."""
+    groups: dict[str, list[int]] = {}
     out: set[tuple[int, int]] = set()
     for i, (_, _, _, keys, _) in enumerate(ns):
         for key in keys:
-            j = seen.get(key)
-            if j is not None and (key[0] not in "az" or sum(p != q for p, q in zip(ns[i][3][0], ns[j][3][0], strict=True)) <= 1):
-                out.add((j, i))
-            seen[key] = i
+            group = groups.setdefault(key, [])
+            if key[0] in "az" and group and sum(p != q for p, q in zip(ns[i][3][0], ns[group[-1]][3][0], strict=True)) == 1:
+                out.add((group[-1], i))
+            group.append(i)
+    whole = [group for key, group in groups.items() if key[0] not in "az" and len(group) > 1]
+    tied: set[int] = set()
+    for group in whole:
+        first: dict[int, int] = {}
+        for i in group:
+            first.setdefault(ns[i][2], i)
+        for a in [i for kind, i in first.items() if kind > 0]:
+            tied.update(group)
+            out.update((min(a, i), max(a, i)) for i in group if i != a)
+    for group in whole:
+        if all(ns[i][2] <= 0 for i in group):
+            rest = [i for i in group if i not in tied]
+            hub = rest[:1] + [i for i in group if i in tied][:1]
+            out.update((min(hub[0], i), max(hub[0], i)) for i in {*rest[1:], *hub[1:]} if rest)
     return sorted(out)
 
 
@@ -189,7 +208,7 @@ def fit(sample: list[str]) -> Model:
 def posteriors(model: Model, x: np.ndarray, evidence: np.ndarray, edges: np.ndarray, skip: np.ndarray) -> np.ndarray:
     """Loopy sum-product over one graph, or many at once: nodes x labels. Evidence (>= 0) clamps a node."""
     unary = np.clip(x @ model.weights, -4, 4)
-    clamped = np.where(evidence[:, None] >= 0, np.where(np.arange(unary.shape[1]) == evidence[:, None], 0.0, -30.0), unary)
+    clamped = np.where(evidence[:, None] >= 0, np.where(np.arange(unary.shape[1]) == evidence[:, None], 0.0, -1e9), unary)  # no number of neighbours outweighs a match
     if not len(edges):
         out = np.exp(clamped - clamped.max(1, keepdims=True))
         return out / out.sum(1, keepdims=True)
@@ -198,15 +217,22 @@ def posteriors(model: Model, x: np.ndarray, evidence: np.ndarray, edges: np.ndar
     both = np.concatenate([skip, skip])
     potential = np.where(both[:, None, None], model.skip, model.chain)
     message = np.zeros((len(source), unary.shape[1]))
-    for _ in range(ROUNDS):
-        belief = clamped.copy()
-        np.add.at(belief, target, message)
-        outgoing = (belief[source] - message[back])[:, :, None] + potential
+    belief = clamped.copy()
+    passed, live = np.zeros(len(source), np.int64), np.arange(len(source))
+    while len(live):
+        outgoing = (belief[source[live]] - message[back[live]])[:, :, None] + potential[live]
         top = outgoing.max(1, keepdims=True)
         new = np.log(np.exp(outgoing - top).sum(1)) + top[:, 0]
-        message = 0.5 * message + 0.5 * (new - new.max(1, keepdims=True))
-    belief = clamped.copy()
-    np.add.at(belief, target, message)
+        change = (new - new.max(1, keepdims=True) - message[live]) * 0.5 ** (1 + passed[live] // ROUNDS)[:, None]
+        message[live] += change
+        np.add.at(belief, target[live], change)
+        passed[live] += 1
+        moved = live[np.abs(change).max(1) > TOLERANCE]
+        # what left a node is due again once something new has reached it
+        reached, due = np.zeros(len(belief), bool), np.zeros(len(source), bool)
+        reached[target[moved]] = True
+        due[moved] = True
+        live = np.flatnonzero(due | reached[source])
     out = np.exp(belief - belief.max(1, keepdims=True))
     return out / out.sum(1, keepdims=True)
 

@@ -84,3 +84,20 @@ def test_query_and_masking(spark, odd_docs, no_docs):
     assert pii.found(odd_docs).count() == odd_docs.count() and pii.masked(odd_docs).schema == odd_docs.schema
     assert pii.masked(odd_docs).exceptAll(odd_docs).count() == 0
     assert pii.found(no_docs).count() == 0 and pii.masked(no_docs).count() == 0
+
+
+def test_evidence_reaches_every_repeat():
+    for again in ("(407) 555-7710", "407-555-7710", "4075557710"):
+        for n in (1, 11, 19, 39, 400):
+            assert [k for *_, k in added("Call +1 (407) 555-7710 today." + f" Or {again} later." * n)] == ["phone"] * n, (again, n)
+            assert [k for *_, k in added(f"Or {again} later. " * n + "Call +1 (407) 555-7710 today.")] == ["phone"] * n, (again, n)
+
+
+def test_message_passing_settles_at_any_distance():
+    """A path of 60 nodes with evidence at one end, against exact forward sums."""
+    model, n = pii.Model(np.zeros((pii.FEATURES, 5)), np.zeros((5, 5)), 8 * np.eye(5)), 60
+    got = pii.posteriors(model, np.zeros((n, pii.FEATURES)), np.array([2] + [-1] * (n - 1)), np.array([[i, i + 1] for i in range(n - 1)]), np.ones(n - 1, bool))
+    step, p = np.exp(model.skip) / np.exp(model.skip).sum(1, keepdims=True), np.eye(5)[2]
+    for i in range(n):
+        assert np.allclose(got[i], p, atol=1e-6)
+        p = p @ step
