@@ -252,7 +252,8 @@ def added_spans(texts: list[str], bases: list[list[Span]], model: Model) -> list
         linked = skip_edges(ns)
         held = {i for e in linked for i in e}
         free += [n[2] < 0 and (i in held or n[4][CHECKSUM] == 1) for i, n in enumerate(ns)]
-        near = [(i, i + 1) for i in range(len(ns) - 1) if (i, i + 1) not in set(linked)] if len(ns) < 1000 else []
+        skip = set(linked)
+        near = [(i, i + 1) for i in range(len(ns) - 1) if (i, i + 1) not in skip]
         edges += [(at + i, at + j) for i, j in [*linked, *near]]
         skips += [True] * len(linked) + [False] * len(near)
     if x:

@@ -101,3 +101,11 @@ def test_message_passing_settles_at_any_distance():
     for i in range(n):
         assert np.allclose(got[i], p, atol=1e-6)
         p = p @ step
+
+
+def test_long_texts_have_chain_edges():
+    """With a chain potential that decides, a passage has the same spans in a text of few and of many nodes."""
+    model = pii.Model(np.zeros((pii.FEATURES, 5)), 6 * np.eye(5), MODEL.skip)
+    passage = "Call +1 (407) 555-7710 or 4111111111111111 5500000000000004 or +1 (407) 555-7711 now. "
+    spans = [pii.added_spans([t], [pii.base_spans(t)], model)[0] for t in (passage + "x@y.org " * n for n in (1, 3000))]
+    assert spans[0] and spans[0] == spans[1]
