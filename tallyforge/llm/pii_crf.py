@@ -2,8 +2,8 @@
 
 Nodes are the stretches of a text that could be personal data: tokens with an @ and runs of digits with their separators.
 Pattern matches are evidence: they clamp their node to their kind. Neighbouring nodes share a
-chain potential. Distant nodes with a repeated or similar key (the same last digits, the same digits but for one,
-the same local part) share a skip potential, which makes an entity's label consistent across the document. Loopy
+chain potential, in a text of any number of nodes. Nodes at any distance with a repeated or similar key (the same last digits, the same digits but for one,
+the same local part) share a skip potential with a match of that key, or with each other where there is none, which makes an entity's label consistent across the document. Loopy
 sum-product message passing gives every free node its posterior; a free node whose most likely label is a kind with at least
 MIN_POSTERIOR becomes a span of that kind. Pattern matches always stay.
 
@@ -132,7 +132,8 @@ def nodes(text: str, base: list[Span]) -> list[tuple[int, int, int, list[str], l
             d = _DIGIT.sub("", s)
             keys = [f"d{d}", f"t{d[-7:]}"]
             if 8 <= len(d) <= 32:
-                keys += [f"a{len(d)}:{d[: len(d) // 2]}", f"z{len(d)}:{d[len(d) // 2 :]}"]  # all digits but those of one half
+                # all digits but one; numbers that differ in one before the last seven share those
+                keys += [f"w{len(d)}:{i}:{d[:i]}{d[i + 1 :]}" for i in range(len(d) - 7, len(d))]
             x = [1.0, 0, 0, 1.0, float(s.startswith("+")), float("(" in s), float(s.count(".") == 3), float(" " in s or "-" in s), float(9 <= len(d) <= 15), float(12 <= len(d) <= 19), float(12 <= len(d) <= 19 and luhn(d)), min(len(d), 40) / 20]
         out.append((start, end, kind, keys, x))
     return out
@@ -142,29 +143,31 @@ def skip_edges(ns: list[tuple]) -> list[tuple[int, int]]:
     """Each node with the first match of each kind of the same key, so that repeats neither move away from the evidence nor outvote it.
 
     Nodes of a key without a match: each with the first of them; of those that another key ties to a match, only the first is tied to them.
-    Of halves of the digits, the last one before a node counts, if one digit differs."""
+    Keys with a digit left out tie numbers that differ in it; equal ones have other keys in common."""
     groups: dict[str, list[int]] = {}
-    out: set[tuple[int, int]] = set()
     for i, (_, _, _, keys, _) in enumerate(ns):
         for key in keys:
-            group = groups.setdefault(key, [])
-            if key[0] in "az" and group and sum(p != q for p, q in zip(ns[i][3][0], ns[group[-1]][3][0], strict=True)) == 1:
-                out.add((group[-1], i))
-            group.append(i)
-    whole = [group for key, group in groups.items() if key[0] not in "az" and len(group) > 1]
+            groups.setdefault(key, []).append(i)
+    out: set[tuple[int, int]] = set()
     tied: set[int] = set()
-    for group in whole:
-        first: dict[int, int] = {}
-        for i in group:
-            first.setdefault(ns[i][2], i)
-        for a in [i for kind, i in first.items() if kind > 0]:
-            tied.update(group)
-            out.update((min(a, i), max(a, i)) for i in group if i != a)
-    for group in whole:
-        if all(ns[i][2] <= 0 for i in group):
-            rest = [i for i in group if i not in tied]
-            hub = rest[:1] + [i for i in group if i in tied][:1]
-            out.update((min(hub[0], i), max(hub[0], i)) for i in {*rest[1:], *hub[1:]} if rest)
+    free: list[tuple[bool, list[int]]] = []
+    for key, group in groups.items():
+        if len(group) > 1:
+            first: dict[int, int] = {}
+            for i in group:
+                first.setdefault(ns[i][2], i)
+            anchors = [i for kind, i in first.items() if kind > 0]
+            if anchors:
+                tied.update(group)
+            else:
+                free.append((key[0] == "w", group))
+            out.update((min(a, i), max(a, i)) for a in anchors for i in group if i != a and (key[0] != "w" or ns[i][3][0] != ns[a][3][0]))
+    for one_off, group in free:
+        rest = [i for i in group if i not in tied]
+        if one_off:
+            rest = list({ns[i][3][0]: i for i in reversed(rest)}.values())[::-1]
+        if rest:
+            out.update((min(rest[0], i), max(rest[0], i)) for i in rest[1:] + [i for i in group if i in tied][:1])
     return sorted(out)
 
 

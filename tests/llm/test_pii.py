@@ -109,3 +109,17 @@ def test_long_texts_have_chain_edges():
     passage = "Call +1 (407) 555-7710 or 4111111111111111 5500000000000004 or +1 (407) 555-7711 now. "
     spans = [pii.added_spans([t], [pii.base_spans(t)], model)[0] for t in (passage + "x@y.org " * n for n in (1, 3000))]
     assert spans[0] and spans[0] == spans[1]
+
+
+def test_one_digit_neighbours_behind_others():
+    """Numbers that share a half of their digits hide no pair that differs in one digit, whichever it is."""
+    card = "4111111111111111"
+    between = " ".join(f"no {card[:8]}{n} x {n}{card[8:]} y" for n in range(22222222, 22222222 + 40 * 111, 111))
+    for i in range(len(card)):
+        typo = f"{card[:i]}2{card[i + 1 :]}"
+        text = f"Card {card} was used; {between}; again {typo} at last."
+        base = pii.base_spans(text)
+        ns = pii.nodes(text, base)
+        place = {text[n[0] : n[1]]: j for j, n in enumerate(ns)}
+        assert (place[card], place[typo]) in pii.skip_edges(ns)
+        assert typo in [text[a:b] for a, b, _ in pii.added_spans([text], [base], MODEL)[0]]
