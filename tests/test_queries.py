@@ -50,6 +50,16 @@ def test_query(spark, duck, name):
         assert rows == sorted(repr(tuple(plain(x[i]) for i in order)) for x in r.fetchall())
 
 
+def test_line_grouping_takes_all_lines(spark, duck):
+    """Every row is a word of a line, and a page holds no more words in a larger table."""
+    got = QUERIES["line_grouping"](spark, SF).collect()
+    assert sum(r["n"] for r in got) == duck.sql("SELECT count(*) FROM lineitem").fetchall()[0][0]
+    pages = {}
+    for r in got:
+        pages[r["page"]] = pages.get(r["page"], 0) + r["n"]
+    assert pages == dict(duck.sql("SELECT l_orderkey // 64, count(*) FROM lineitem GROUP BY 1").fetchall())
+
+
 def test_without_the_subpackage(tmp_path):
     """The entry imports and keeps its other queries when the training-data subpackage is gone."""
     root = Path(__file__).resolve().parents[1]
