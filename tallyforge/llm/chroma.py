@@ -6,7 +6,8 @@ integer for each frame. Two recordings are aligned by the histogram of offsets a
 the share of unequal bits over the overlap at that offset is their distance.
 
 A search is a stated query set against all rows, in blocks: each task has a block of recordings and a block of queries and emits
-one row a query. Recordings with equal fingerprints are one class and are compared once. No integer is left out for being frequent.
+every alignment of at most MAX_BIT_ERROR, and each query's best whatever its error. Recordings with equal fingerprints are one class and are
+compared once, so results are pairs of classes with a membership of ids. No integer is left out for being frequent.
 
 Edge cases: null, empty or undecodable audio, and audio shorter than a filter, has an empty fingerprint and matches nothing; repeated rows and ids are
 copies of each other; null ids are not queries and never a match; empty tables give an empty result. Other columns are never read.
@@ -154,10 +155,10 @@ def aligned(queries: list[np.ndarray], rows: list[np.ndarray]) -> tuple[np.ndarr
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (rb, qb); a run of equal keys is one block of recordings with one of queries. Emits each query's best."""
+    """Rows sorted by (rb, qb); a run of equal keys is one block of recordings with one of queries. Emits all alignments that match and each query's best."""
     held, key = [], None
 
-    def settle(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def settle(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(parts)
         cls, wants = t["cls"].to_numpy(), t["wants"].to_numpy(zero_copy_only=False)
         prints = [np.frombuffer(p, np.uint32) for p in t["print"].to_pylist()]
@@ -168,8 +169,11 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, offset, votes, errors, overlap = (v[other] for v in (a, b, offset, votes, errors, overlap))
         rate = np.round(errors / (32.0 * np.maximum(overlap, 1)), 9)
         best = np.lexsort((b, -votes, -overlap, rate, a))
-        best = best[np.concatenate([[True], a[best][1:] != a[best][:-1]])] if len(best) else best
-        return pa.RecordBatch.from_arrays([pa.array(v[best].astype(k)) for v, k in ((a, np.int64), (b, np.int64), (offset, np.int64), (votes, np.int64), (overlap, np.int64), (rate, np.float64))], names=["cls", "hit", "offset", "votes", "overlap", "ber"])
+        first = np.concatenate([[True], a[best][1:] != a[best][:-1]]) if len(best) else np.zeros(0, bool)
+        best = best[first | (rate[best] <= MAX_BIT_ERROR)]
+        for low in range(0, len(best), 50_000):
+            some = best[low : low + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(v[some].astype(k)) for v, k in ((a, np.int64), (b, np.int64), (offset, np.int64), (votes, np.int64), (overlap, np.int64), (rate, np.float64))], names=["cls", "hit", "offset", "votes", "overlap", "ber"])
 
     for batch in batches:
         keys = np.stack([batch.column(c).to_numpy() for c in ("rb", "qb")])
@@ -177,19 +181,23 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             now = tuple(keys[:, a].tolist())
             if now != key and held:
-                yield settle(held)
+                yield from settle(held)
                 held = []
             held.append(batch.slice(a, b - a))
             key = now
     if held:
-        yield settle(held)
+        yield from settle(held)
 
 
-def matches(prints: DataFrame, is_query) -> DataFrame:
-    """Best other recording of each row of ``prints(id long, print)`` that ``is_query`` holds for: (query_id, match_id, offset, votes, overlap, ber, matched).
+def search(prints: DataFrame, is_query) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(best, alignments, members) of the rows of ``prints(id long, print)`` that ``is_query`` holds for, against all rows.
 
-    Best is the least bit error, then the longest overlap, the most votes and the smallest class; a recording with an equal fingerprint is at distance 0. match_id is the smallest
+    Best is the other recording nearest to each query: (query_id, match_id, offset, votes, overlap, ber, matched); the least bit error, then the longest overlap,
+    the most votes and the smallest class; a recording with an equal fingerprint is at distance 0. match_id is the smallest
     id of the class met (other than the query's own). Rows that meet nothing have nulls and matched false.
+
+    Alignments are all pairs of a query's class and another class with a bit error of at most MAX_BIT_ERROR: (query_class, match_class, offset, votes, overlap, ber).
+    Members give the class of each id with a fingerprint, (id, cls, n) with its n integers; a class is named by its smallest id.
     """
     prints = written(prints.where("id is not null"), "prints")
     classes = prints.where("length(print) > 0").groupBy("print").agg(F.min("id").alias("cls"))
@@ -201,18 +209,36 @@ def matches(prints: DataFrame, is_query) -> DataFrame:
     rb, qb = -(-n_rows // ROW_BLOCK) or 1, -(-n_queries // QUERY_BLOCK) or 1
     spread = lambda df, own, blocks, other, others, wants: df.select("cls", "print", F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other), F.lit(wants).alias("wants"))
     both = spread(classes, "rb", rb, "qb", qb, False).unionByName(spread(asked, "qb", qb, "rb", rb, True))
-    best = both.repartition("rb", "qb").sortWithinPartitions("rb", "qb", "wants", "cls").mapInArrow(_search, "cls long, hit long, offset long, votes long, overlap long, ber double")
-    best = best.groupBy("cls").agg(F.min(F.struct("ber", (-F.col("overlap")).alias("o"), (-F.col("votes")).alias("v"), F.col("hit"), F.col("offset"))).alias("b"))
+    met = both.repartition("rb", "qb").sortWithinPartitions("rb", "qb", "wants", "cls").mapInArrow(_search, "cls long, hit long, offset long, votes long, overlap long, ber double")
+    met = written(met, "alignments")
+    best = met.groupBy("cls").agg(F.min(F.struct("ber", (-F.col("overlap")).alias("o"), (-F.col("votes")).alias("v"), F.col("hit"), F.col("offset"))).alias("b"))
     copies = named.where("id <> cls").groupBy("cls").agg(F.min("id").alias("copy"))
     sizes = prints.select("id", (F.length("print") / 4).cast("long").alias("n"))
     asks = named.where("wants").join(sizes.distinct(), "id").join(copies, "cls", "left").join(best, "cls", "left")
     same = F.when(F.col("id") != F.col("cls"), F.col("cls")).otherwise(F.col("copy"))
     twin = same.isNotNull()
     ber = F.when(twin, 0.0).otherwise(F.col("b.ber"))
-    return asks.select(
+    nearest = asks.select(
         F.col("id").alias("query_id"), F.coalesce(same, "b.hit").alias("match_id"), F.when(twin, 0).otherwise(F.col("b.offset")).cast("long").alias("offset"),
         F.when(twin, F.col("n")).otherwise(-F.col("b.v")).alias("votes"), F.when(twin, F.col("n")).otherwise(-F.col("b.o")).alias("overlap"), ber.alias("ber"), F.coalesce(ber <= MAX_BIT_ERROR, F.lit(False)).alias("matched"),
     )
+    alignments = met.where(F.col("ber") <= MAX_BIT_ERROR).select(F.col("cls").alias("query_class"), F.col("hit").alias("match_class"), "offset", "votes", "overlap", "ber")
+    members = written(named.where("cls is not null").select("id", "cls").join(sizes.distinct(), "id"), "members")
+    return nearest, alignments, members
+
+
+def matches(prints: DataFrame, is_query) -> DataFrame:
+    """The best of ``search``: one row a query."""
+    return search(prints, is_query)[0]
+
+
+def related(prints: DataFrame, is_query) -> DataFrame:
+    """All that ``search`` finds, in one table with ``relation``: ``best`` (one row a query), ``alignment`` (pairs of classes) and ``member`` (each id and its class)."""
+    best, alignments, members = search(prints, is_query)
+    pairs = alignments.select(F.col("query_class").alias("query_id"), F.col("match_class").alias("match_id"), "offset", "votes", "overlap", "ber", F.lit(True).alias("matched"))
+    own = members.select(F.col("id").alias("query_id"), F.col("cls").alias("match_id"), F.lit(0).cast("long").alias("offset"), F.col("n").alias("votes"), F.col("n").alias("overlap"), F.lit(0.0).alias("ber"), F.lit(True).alias("matched"))
+    named = [df.withColumn("relation", F.lit(relation)) for df, relation in ((best, "best"), (pairs, "alignment"), (own, "member"))]
+    return named[0].unionByName(named[1]).unionByName(named[2])
 
 
 # --- recordings made from vectors -------------------------------------------------------------------------------------

@@ -54,9 +54,9 @@ def op5_chat_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """query_id, match_id, offset, votes, overlap, ber, matched of every vector whose id is divisible by 20, against the recordings of all."""
+    """query_id, match_id, offset, votes, overlap, ber, matched, relation of the vectors whose ids are divisible by 20, against the recordings of all: the best of each, all alignments of classes that match, and the class of each id."""
     media = chroma.rendered(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
-    return chroma.matches(chroma.fingerprints(media, "id", "audio"), F.col("id") % 20 == 0)
+    return chroma.related(chroma.fingerprints(media, "id", "audio"), F.col("id") % 20 == 0)
 
 
 def op7_language_hd(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,6 +64,22 @@ def test_search_and_brute_force(spark, monkeypatch):
         assert (got[q]["ber"], got[q]["match_id"], got[q]["offset"]) == (top[0], top[3], top[4])
 
 
+def test_all_alignments_and_members(spark, monkeypatch):
+    """A query with two copies and three noisy ones has all of them, over several blocks."""
+    monkeypatch.setattr(chroma, "ROW_BLOCK", 4)
+    rng = np.random.default_rng(3)
+    x = tune(5)
+    rows = [(0, wav(x)), (1, wav(x)), (2, wav(x)), *((10 + i, wav(np.concatenate([tune(50 + i, 2 + i), x]) + rng.normal(0, 0.01, 256 * (42 + i)))) for i in range(3)), *((30 + i, wav(tune(90 + i))) for i in range(6)), (20, wav(x)), (40, None)]
+    df = spark.createDataFrame(rows, "id long, audio binary")
+    got = chroma.related(chroma.fingerprints(df, "id", "audio"), F.col("id") % 20 == 0).collect()
+    by = {k: [r for r in got if r["relation"] == k] for k in ("best", "alignment", "member")}
+    assert {(r["query_id"], r["match_id"]) for r in by["best"]} == {(0, 1), (20, 0), (40, None)}
+    hits = {(r["query_id"], r["match_id"]): r for r in by["alignment"]}
+    assert len(hits) == len(by["alignment"]) and {(0, 10), (0, 11), (0, 12)} <= set(hits) and all(q == 0 and m not in (0, 1, 2, 20) for q, m in hits)
+    assert [abs(hits[0, 10 + i]["offset"] - 2 * (2 + i)) <= 1 and hits[0, 10 + i]["ber"] <= chroma.MAX_BIT_ERROR for i in range(3)] == [True] * 3
+    assert {r["query_id"]: r["match_id"] for r in by["member"]} == {i: 0 if i in (0, 1, 2, 20) else i for i, a in rows if a}
+
+
 def test_integral_image_filters():
     f = chroma.fingerprint(*chroma.samples(wav(tune(1))))
     assert len(f) == 80 - 3 - chroma.WIDTH + 1 and len(set(f.tolist())) > 10
