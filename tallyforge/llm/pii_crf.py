@@ -7,7 +7,7 @@ the same local part) share a skip potential with a match of that key, or with ea
 sum-product message passing gives every free node its posterior; a free node whose most likely label is a kind with at least
 MIN_POSTERIOR becomes a span of that kind. Pattern matches always stay.
 
-The node weights are a softmax regression fitted to a bounded sample (SAMPLE documents with nodes and of at most SAMPLE_CHARS
+The node weights are a softmax regression fitted to a bounded sample (SAMPLE distinct texts with nodes and of at most SAMPLE_CHARS
 characters, by hash), with
 pattern matches as distant labels; potentials of edges are smoothed log ratios counted on the same sample.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tallyforge.llm.storage import bounded_batches
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that the model is fitted on, and the most characters of one.
+#: Distinct texts that the model is fitted on, and the most characters of one.
 SAMPLE, SAMPLE_CHARS = 2000, 20_000
 MIN_POSTERIOR = 0.9
 #: Messages are passed on until none of them changes by more than TOLERANCE. One that has been passed on ROUNDS times is damped twice as much from then
@@ -273,9 +273,9 @@ def joined(spans: list[Span]) -> str:
 
 def _model(docs: DataFrame, text_col: str) -> Model:
     texts = docs.select(F.col(text_col).cast("string").alias("t")).where((F.length("t") <= SAMPLE_CHARS) & F.col("t").rlike(r"@|[0-9][\x20().0-9-]{5}"))
-    # about half again as many rows as wanted pass the first cut, so that partitions send the driver no more than the sample
-    share = min(1.0, 1.5 * SAMPLE / max(1, texts.count()))
-    few = texts.where(F.pmod(F.xxhash64(F.lit("sample"), "t"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    # about half again as many distinct texts as wanted pass the first cut, so that partitions send the driver no more than the sample
+    share = min(1.0, 1.5 * SAMPLE / max(1, texts.select(F.xxhash64("t")).distinct().count()))
+    few = texts.where(F.pmod(F.xxhash64(F.lit("sample"), "t"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
     rows = few.orderBy(F.xxhash64("t"), "t").limit(SAMPLE)
     return fit([r["t"] for r in rows.collect()])
 

@@ -123,3 +123,13 @@ def test_one_digit_neighbours_behind_others():
         place = {text[n[0] : n[1]]: j for j, n in enumerate(ns)}
         assert (place[card], place[typo]) in pii.skip_edges(ns)
         assert typo in [text[a:b] for a, b, _ in pii.added_spans([text], [base], MODEL)[0]]
+
+
+def test_copies_count_once_in_the_sample(spark, monkeypatch):
+    """The sample is of distinct texts: neither do copies fill it nor do they narrow the first cut."""
+    texts = [f"mail me at bob{i}@site.example.org" for i in range(100)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:5] * 1500)], "doc_id long, text string")
+    samples = []
+    monkeypatch.setattr(pii, "fit", lambda sample: samples.append(sample) or MODEL)
+    pii._model(df, "text")
+    assert sorted(samples[0]) == sorted(texts)
