@@ -45,3 +45,12 @@ def test_edges(spark, tmp_path, odd_docs, no_docs):
         assert out.columns == [*odd_docs.columns, "copy"]
         assert out.where("text is null").count() == 0 and (out.count() > 0) == (name == "odd")
     assert pii_crf.KINDS and F
+
+
+def test_language_without_labels(spark, tmp_path):
+    """With nothing to learn from, only texts without a letter go."""
+    texts = ["clean words", "ñ", "12 34 ...", "", None, "日本語", "1 𝒳"]
+    for ids, langs in ((range(7), [None] * 7), ([None] * 7, ["en"] * 7)):
+        df = spark.createDataFrame([(i, t, lang, "s", 1) for i, t, lang in zip(ids, texts, langs, strict=True)], "doc_id long, text string, lang string, source string, n_chars long")
+        got = cp.language_id(spark, df, str(tmp_path)).collect()
+        assert {r["text"] for r in got} == {"clean words", "ñ", "日本語", "1 𝒳"} and {r["lang"] for r in got} == set(langs)
