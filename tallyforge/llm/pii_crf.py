@@ -4,12 +4,15 @@ Nodes are the stretches of a text that could be personal data: tokens with an @
 Pattern matches are evidence: they clamp their node to their kind. Neighbouring nodes share a
 chain potential, in a text of any number of nodes. Nodes at any distance with a repeated or similar key (the same last digits, the same digits but for one,
 the same local part) share a skip potential with a match of that key, or with each other where there is none, which makes an entity's label consistent across the document. Loopy
-sum-product message passing gives every free node its posterior; a free node whose most likely label is a kind with at least
-MIN_POSTERIOR becomes a span of that kind. Pattern matches always stay.
+sum-product message passing gives every free node its posterior.
 
-The node weights are a softmax regression fitted to a bounded sample (SAMPLE distinct texts with nodes and of at most SAMPLE_CHARS
-characters, by hash), with
-pattern matches as distant labels; potentials of edges are smoothed log ratios counted on the same sample.
+One rule holds in every text: a free node becomes a span if it has a skip edge or a valid checksum and its most likely label is a kind with a posterior of at
+least MIN_POSTERIOR. Pattern matches always stay.
+
+Node weights and both potentials are fitted together, by pseudo-likelihood on a bounded sample: SAMPLE distinct texts with nodes and of at most SAMPLE_CHARS
+characters, of the POOL rows (about) whose texts have the least hashes. Pattern matches are distant labels. As patterns never label what they miss, each match also gives
+damaged forms that no pattern matches (a lost +, a wrong digit, a cut domain): with a skip edge to the match they keep its kind, alone they are none.
+Potentials are tied over kinds (same kind, both none, one none, two kinds), so a kind that the sample lacks has them too; without any match they stay at PRIOR.
 
 Edge cases: null texts count as empty; an empty text or one without nodes has no spans; a text of any length is read whole,
 in time linear in its length; repeated rows and null ids are kept as they are. Other columns are never read.
@@ -29,8 +32,11 @@ from pyspark.sql import functions as F
 from tallyforge.llm.storage import bounded_batches
 
 KINDS = ("email", "ip", "card", "phone")
-#: Distinct texts that the model is fitted on, and the most characters of one.
-SAMPLE, SAMPLE_CHARS = 2000, 20_000
+#: Distinct texts that the model is fitted on, the most characters of one, and the rows (of least hash) that are searched for them.
+SAMPLE, SAMPLE_CHARS, POOL = 2000, 20_000, 200_000
+#: Log potentials of a skip edge before anything is learned (same kind, both none, one none, two kinds); those of a chain edge are 0, and held there more firmly.
+PRIOR = (1.0, 1.0, -1.0, -1.0)
+RIDGE = (0.003, 0.0001)
 MIN_POSTERIOR = 0.9
 #: Messages are passed on until none of them changes by more than TOLERANCE. One that has been passed on ROUNDS times is damped twice as much from then
 #: on (and again after as many), so that passing ends on graphs where it would swing; on trees it settles before, at any distance.
@@ -102,8 +108,25 @@ def base_spans(text: str) -> list[Span]:
 FEATURES, CHECKSUM = 12, 10
 
 
+def features(s: str) -> list[float]:
+    """What a node looks like."""
+    if "@" in s:
+        return [1.0, 1.0, float("." in s.partition("@")[2]), 0, 0, 0, 0, 0, 0, 0, 0, 0]
+    d = _DIGIT.sub("", s)
+    card = 12 <= len(d) <= 19
+    return [1.0, 0, 0, 1.0, float(s.startswith("+")), float("(" in s), float(s.count(".") == 3), float(" " in s or "-" in s), float(9 <= len(d) <= 15), float(card), float(card and luhn(d)), min(len(d), 40) / 20]
+
+
+def _keys(s: str) -> list[str]:
+    if "@" in s:
+        return [f"@{s.partition('@')[0].lower()}", f"e{s.lower()}"]
+    d = _DIGIT.sub("", s)
+    # all digits but one; numbers that differ in one before the last seven share those
+    return [f"d{d}", f"t{d[-7:]}", *(f"w{len(d)}:{i}:{d[:i]}{d[i + 1 :]}" for i in range(len(d) - 7, len(d)) if 8 <= len(d) <= 32)]
+
+
 def nodes(text: str, base: list[Span]) -> list[tuple[int, int, int, list[str], list[float]]]:
-    """(start, end, evidence or -1, keys, features) of each node in order; evidence is 0 for none of the kinds or 1 + the kind."""
+    """(start, end, evidence or -1, keys, features) of each node in order; evidence is 1 + the kind of the first match that it overlaps."""
     found: list[tuple[int, int]] = []
     for start, at, domain in _at_signs(text):
         end = domain.end() if domain else _LOOSE_DOMAIN.match(text, at + 1).end()
@@ -115,27 +138,17 @@ def nodes(text: str, base: list[Span]) -> list[tuple[int, int, int, list[str], l
             if sum(map(str.isdigit, s)) >= 7:
                 found.append((a, a + len(s)))
     found.sort()
-    out, last, b = [], -1, 0
+    out, last, waiting, b = [], -1, [], 0
     for start, end in found:
         if start < last:
             continue
         last = end
-        while b < len(base) and base[b][1] <= start:
+        while b < len(base) and base[b][0] < end:
+            waiting.append(base[b])
             b += 1
-        kind = next((1 + KINDS.index(k) for a, z, k in base[b : b + 8] if a < end and z > start), -1)
+        waiting = [m for m in waiting if m[1] > start]  # nodes don't overlap: a match that ends before this one ends before all later ones
         s = text[start:end]
-        if "@" in s:
-            local, _, domain = s.partition("@")
-            keys = [f"@{local.lower()}", f"e{s.lower()}"]
-            x = [1.0, 1.0, float("." in domain), 0, 0, 0, 0, 0, 0, 0, 0, 0]
-        else:
-            d = _DIGIT.sub("", s)
-            keys = [f"d{d}", f"t{d[-7:]}"]
-            if 8 <= len(d) <= 32:
-                # all digits but one; numbers that differ in one before the last seven share those
-                keys += [f"w{len(d)}:{i}:{d[:i]}{d[i + 1 :]}" for i in range(len(d) - 7, len(d))]
-            x = [1.0, 0, 0, 1.0, float(s.startswith("+")), float("(" in s), float(s.count(".") == 3), float(" " in s or "-" in s), float(9 <= len(d) <= 15), float(12 <= len(d) <= 19), float(12 <= len(d) <= 19 and luhn(d)), min(len(d), 40) / 20]
-        out.append((start, end, kind, keys, x))
+        out.append((start, end, 1 + KINDS.index(waiting[0][2]) if waiting else -1, _keys(s), features(s)))
     return out
 
 
@@ -178,39 +191,97 @@ class Model:
         self.weights, self.chain, self.skip = weights, chain, skip
 
 
-def fit(sample: list[str]) -> Model:
-    """Distant supervision: matched nodes are labelled, unmatched ones count as none unless a skip edge ties them to a match."""
-    labels = 1 + len(KINDS)
-    xs, ys, pairs = [], [], {"chain": np.full((labels, labels), 0.5), "skip": np.full((labels, labels), 0.5)}
+LABELS = 1 + len(KINDS)
+#: Which of the four tied potentials a pair of labels has.
+_TIED = np.where(np.eye(LABELS, dtype=bool), 0, 3)
+_TIED[0, :] = _TIED[:, 0] = 2
+_TIED[0, 0] = 1
+
+
+def damaged(s: str) -> list[str]:
+    """Forms of a match that the patterns no longer match: without +, with a wrong digit, with a cut domain."""
+    if "@" in s:
+        forms = [s.rpartition(".")[0], s.partition("@")[0] + "@"]
+    else:
+        bare = s.lstrip("+")
+        at = max(i for i, c in enumerate(bare) if c.isdigit())
+        forms = [bare, _DIGIT.sub("", s), f"{bare[:at]}{(int(bare[at]) + 1) % 10}{bare[at + 1 :]}"]
+    return [f for f in dict.fromkeys(forms) if not base_spans(f)]
+
+
+def _examples(sample: list[str]) -> tuple[np.ndarray, ...]:
+    """(features, labels of chain neighbours, labels of skip neighbours, label) of each node that has a label; neighbours are counted by label.
+
+    Last come the features of the damaged forms."""
+    rows: list[tuple[list[float], np.ndarray, np.ndarray, int]] = []
+    twice: list[list[float]] = []
+    one = np.eye(LABELS)
     for text in sample:
         base = base_spans(text)
         ns = nodes(text, base)
-        tied = {i for a, b in skip_edges(ns) for i, j in ((a, b), (b, a)) if ns[i][2] < 0 and ns[j][2] > 0}
-        for i, n in enumerate(ns):
-            if i not in tied:
-                xs.append(n[4])
-                ys.append(max(n[2], 0))
-        for name, edges in (("chain", [(i, i + 1) for i in range(len(ns) - 1)]), ("skip", [e for e in skip_edges(ns) if not tied & set(e)])):
+        label = [max(n[2], 0) for n in ns]
+        linked = skip_edges(ns)
+        hidden = {i for a, b in linked for i, j in ((a, b), (b, a)) if ns[i][2] < 0 and ns[j][2] > 0}
+        near, far = np.zeros((len(ns), LABELS)), np.zeros((len(ns), LABELS))
+        for counts, edges in ((near, [(i, i + 1) for i in range(len(ns) - 1)]), (far, linked)):
             for i, j in edges:
-                a, b = max(ns[i][2], 0), max(ns[j][2], 0)
-                pairs[name][a, b] += 1
-                pairs[name][b, a] += 1
-    w = np.zeros((FEATURES, labels))
-    if xs:
-        x, y = np.array(xs), np.eye(labels)[ys]
-        for _ in range(300):
-            p = np.exp((s := x @ w) - s.max(1, keepdims=True))
-            w += 2.0 * (x.T @ (y - p / p.sum(1, keepdims=True)) / len(x) - 1e-4 * w)
-    ratio = {k: np.log(v * v.sum() / (v.sum(1, keepdims=True) * v.sum(0, keepdims=True))) for k, v in pairs.items()}
-    chain = np.clip(ratio["chain"], -0.5, 0.5)  # neighbours say little
-    # consistency: at least this strong, however few repeats the sample has
-    skip = np.maximum(np.clip(ratio["skip"], -2, 6), 6 * np.eye(labels)) - 2 * (1 - np.eye(labels))
-    return Model(w, chain, skip)
+                counts[i] += one[label[j]] * (j not in hidden)
+                counts[j] += one[label[i]] * (i not in hidden)
+        for i, (a, b, kind, _, x) in enumerate(ns):
+            if i not in hidden:
+                rows.append((x, near[i], far[i], label[i]))
+            if kind > 0:
+                nobody = 0 * one[0]
+                rows.append((x, nobody, nobody, kind))  # a match is one without its neighbours, too
+                for form in damaged(text[a:b]):
+                    x = features(form)
+                    rows += [(x, nobody, one[kind], kind), (x, nobody, one[0], 0), (x, nobody, nobody, 0)]
+                    twice.append(x)
+    return *(np.array([r[c] for r in rows], float) for c in range(4)), np.array(twice, float).reshape(-1, FEATURES)
+
+
+def fit(sample: list[str]) -> Model:
+    """The weights and potentials of greatest pseudo-likelihood (each label given its neighbours'), drawn a little to 0 and to PRIOR.
+
+    Pseudo-likelihood doesn't see that two free nodes could turn each other into a kind, so the joint likelihood that a damaged form which stands
+    twice, without a match, is none both times is added."""
+    w, prior = np.zeros((FEATURES, LABELS)), np.array([(0.0,) * 4, PRIOR])
+    tied = prior
+    x, near, far, label, twice = _examples(sample)
+    if len(x):
+        y = np.eye(LABELS)[label.astype(int)]
+        share = 1 / (np.maximum(y.sum(0), 1) * (y.sum(0) > 0).sum())  # each label weighs as much
+        weight = (y @ share)[:, None]
+        step = [np.zeros_like(w), np.zeros_like(tied)]
+        for _ in range(600):
+            own = x @ w
+            s = np.clip(own, -CLIP, CLIP) + near @ tied[0][_TIED] + far @ tied[1][_TIED]
+            p = np.exp(s - s.max(1, keepdims=True))
+            miss = weight * (y - p / p.sum(1, keepdims=True))
+            up_w = x.T @ (miss * ((np.abs(own) < CLIP) | (own * miss < 0))) - 1e-4 * w
+            up_t = np.array([np.bincount(_TIED.ravel(), (n.T @ miss).ravel(), 4) for n in (near, far)]) - np.array(RIDGE)[:, None] * (tied - prior)
+            if len(twice):
+                own = twice @ w
+                s = np.clip(own, -CLIP, CLIP)
+                both = s[:, :, None] + s[:, None, :] + tied[1][_TIED]
+                p = np.exp(both - both.max((1, 2), keepdims=True))
+                p = -p / p.sum((1, 2), keepdims=True) / len(twice)
+                p[:, 0, 0] += 1 / len(twice)
+                miss = 2 * p.sum(2)
+                up_w += twice.T @ (miss * ((np.abs(own) < CLIP) | (own * miss < 0)))
+                up_t[1] += np.bincount(_TIED.ravel(), p.sum(0).ravel(), 4)
+            step = [0.9 * old + new for old, new in zip(step, (up_w, up_t), strict=True)]
+            w, tied = w + 0.5 * step[0], tied + 0.5 * step[1]
+    return Model(w, tied[0][_TIED], tied[1][_TIED])
+
+
+#: What a node looks like counts for at most so much, as a log.
+CLIP = 4.0
 
 
 def posteriors(model: Model, x: np.ndarray, evidence: np.ndarray, edges: np.ndarray, skip: np.ndarray) -> np.ndarray:
     """Loopy sum-product over one graph, or many at once: nodes x labels. Evidence (>= 0) clamps a node."""
-    unary = np.clip(x @ model.weights, -4, 4)
+    unary = np.clip(x @ model.weights, -CLIP, CLIP)
     clamped = np.where(evidence[:, None] >= 0, np.where(np.arange(unary.shape[1]) == evidence[:, None], 0.0, -1e9), unary)  # no number of neighbours outweighs a match
     if not len(edges):
         out = np.exp(clamped - clamped.max(1, keepdims=True))
@@ -246,15 +317,18 @@ def added_spans(texts: list[str], bases: list[list[Span]], model: Model) -> list
     x, evidence, edges, skips, place, free = [], [], [], [], [], []
     for t, (text, base) in enumerate(zip(texts, bases, strict=True)):
         ns = nodes(text, base) if _ACTIVE.search(text) else []
-        if not any(n[2] < 0 and (base or n[4][CHECKSUM]) for n in ns):
+        if not any(n[2] < 0 for n in ns):
+            continue
+        linked = skip_edges(ns)
+        held = {i for e in linked for i in e}
+        asked = [n[2] < 0 and (i in held or n[4][CHECKSUM] == 1) for i, n in enumerate(ns)]
+        if not any(asked):
             continue
         at = len(x)
         x += [n[4] for n in ns]
         evidence += [n[2] for n in ns]
         place += [(t, n[0], n[1]) for n in ns]
-        linked = skip_edges(ns)
-        held = {i for e in linked for i in e}
-        free += [n[2] < 0 and (i in held or n[4][CHECKSUM] == 1) for i, n in enumerate(ns)]
+        free += asked
         skip = set(linked)
         near = [(i, i + 1) for i in range(len(ns) - 1) if (i, i + 1) not in skip]
         edges += [(at + i, at + j) for i, j in [*linked, *near]]
@@ -272,16 +346,16 @@ def joined(spans: list[Span]) -> str:
 
 
 def _model(docs: DataFrame, text_col: str) -> Model:
-    texts = docs.select(F.col(text_col).cast("string").alias("t")).where((F.length("t") <= SAMPLE_CHARS) & F.col("t").rlike(r"@|[0-9][\x20().0-9-]{5}"))
-    # about half again as many distinct texts as wanted pass the first cut, so that partitions send the driver no more than the sample
-    share = min(1.0, 1.5 * SAMPLE / max(1, texts.select(F.xxhash64("t")).distinct().count()))
-    few = texts.where(F.pmod(F.xxhash64(F.lit("sample"), "t"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
+    """Fitted in one pass that hashes every text and looks for nodes only in the POOL rows (about) of least hash, so that most texts cost a hash."""
+    share = min(1.0, POOL / max(1, docs.count()))
+    pool = docs.select(F.col(text_col).cast("string").alias("t")).where(F.pmod(F.xxhash64(F.lit("sample"), "t"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    few = pool.where((F.length("t") <= SAMPLE_CHARS) & F.col("t").rlike(r"@|[0-9][\x20().0-9-]{5}")).distinct()
     rows = few.orderBy(F.xxhash64("t"), "t").limit(SAMPLE)
     return fit([r["t"] for r in rows.collect()])
 
 
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) of every row."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans) of every row; n_spans counts all spans, the added ones too."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(_model(docs, text_col))
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -293,10 +367,10 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             spans = [merged(b, a) for b, a in zip(bases, added_spans(texts, bases, shared.value), strict=True)]
             counts = [pa.array([sum(s[2] == k for s in b) for b in bases], pa.int64()) for k in KINDS]
             digest = [hashlib.sha256(joined(b).encode()).hexdigest() for b in bases]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array(digest), pa.array([joined(s) for s in spans])], names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *counts, pa.array(digest), pa.array([joined(s) for s in spans]), pa.array([len(s) for s in spans], pa.int64())], names=["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"])
 
     kind = base.schema["doc_id"].dataType.simpleString()
-    return base.mapInArrow(run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return base.mapInArrow(run, f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
 
 
 def merged(base: list[Span], added: list[Span]) -> list[Span]:

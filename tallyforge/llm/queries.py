@@ -23,7 +23,7 @@ def op1_url_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans of every document."""
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans of every document."""
     return pii_crf.found(_table(spark, sf_dir, "documents"))
 
 

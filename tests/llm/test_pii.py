@@ -133,3 +133,59 @@ def test_copies_count_once_in_the_sample(spark, monkeypatch):
     monkeypatch.setattr(pii, "fit", lambda sample: samples.append(sample) or MODEL)
     pii._model(df, "text")
     assert sorted(samples[0]) == sorted(texts)
+
+
+def test_loopy_graph_against_enumeration():
+    """On a graph with cycles message passing is approximate: close to exact sums where potentials are moderate, and of the same labels."""
+    import itertools
+
+    rng = np.random.default_rng(4)
+    for _ in range(5):
+        model = pii.Model(rng.normal(size=(pii.FEATURES, 5)), 0.3 * np.eye(5), 0.6 * np.eye(5))
+        x, evidence = rng.normal(size=(5, pii.FEATURES)) * 0.4, np.array([-1, 2, -1, -1, -1])
+        edges, skip = np.array([[0, 1], [1, 2], [2, 3], [3, 4], [0, 3], [1, 4]]), np.array([False, False, False, False, True, True])
+        unary, total = np.clip(x @ model.weights, -pii.CLIP, pii.CLIP), np.zeros((5, 5))
+        for y in itertools.product(range(5), repeat=5):
+            if y[1] == 2:
+                p = np.exp(sum(unary[i, y[i]] for i in range(5) if i != 1) + sum((model.skip if s else model.chain)[y[a], y[b]] for (a, b), s in zip(edges.tolist(), skip.tolist(), strict=True)))
+                for i in range(5):
+                    total[i, y[i]] += p
+        exact, got = total / total.sum(1, keepdims=True), pii.posteriors(model, x, evidence, edges, skip)
+        assert np.abs(got - exact).max() < 0.05 and (got.argmax(1) == exact.argmax(1)).all()
+
+
+def test_potentials_are_learned():
+    """Same labels attract over skip edges more than PRIOR says, kinds and none repel; without a match the potentials stay."""
+    assert MODEL.skip[1, 1] > pii.PRIOR[0] + 1 and MODEL.skip[0, 1] < pii.PRIOR[2] - 1
+    none = pii.fit(["no 123456789 none", "ref 99887766554433"])
+    assert np.allclose(none.skip[pii._TIED == 0], pii.PRIOR[0], atol=0.05)
+    assert pii.fit([]).weights.shape == (pii.FEATURES, 5)
+
+
+def test_damaged_repeats():
+    """Each match stands again in a damaged form that no pattern matches: the skip edges find it. Damaged forms alone, or in other texts, stay clean."""
+    rng = np.random.default_rng(9)
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    texts, wanted, alone = [], 0, []
+    for i in range(300):
+        card = digits(15)
+        matches = [f"+4{i % 10} {digits(3)} {digits(7)}", f"user{i}.{digits(3)}@mail{i % 7}.example.org", next(card + c for c in "0123456789" if pii.luhn(card + c))]
+        m = matches[i % 3]
+        forms = pii.damaged(m)
+        form = forms[i // 3 % len(forms)]
+        texts.append(f"order {digits(7)} for {m} shipped. Later {form} wrote again about {digits(8)}.")
+        alone.append(f"order {digits(7)} shipped. Later {form} wrote again about {digits(8)}.")
+        wanted += 1
+    bases = [pii.base_spans(t) for t in texts]
+    model = pii.fit(texts[:100])
+    got = pii.added_spans(texts, bases, model)
+    right = sum(len(g) == 1 and g[0][2] == b[0][2] and g[0][0] > b[0][1] for g, b in zip(got, bases, strict=True))
+    assert right >= 0.98 * wanted
+    assert pii.added_spans(alone, [pii.base_spans(t) for t in alone], model) == [[] for _ in alone]
+    assert pii.added_spans([f"{t} {t}" for t in alone], [pii.base_spans(f"{t} {t}") for t in alone], model) == [[] for _ in alone]  # repeats of what is no match
+
+
+def test_evidence_among_many_matches():
+    """A node finds its match behind any number of others that begin before it."""
+    text = "+1 2 " * 30 + "1.2.3.4 " * 20 + "and +1 (407) 555-7710 here"
+    assert pii.nodes(text, pii.base_spans(text))[-1][2] == 4
