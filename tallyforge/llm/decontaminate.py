@@ -2,13 +2,13 @@
 
 The items' windows (WINDOW consecutive words; a shorter item is one window) are records, their shingles of up to SHINGLE words the
 tokens. Tokens are ordered by rarity, the number of documents that hold them. As a window must be contained whole, its necessary
-prefix is its rarest token. Documents are joined on prefix tokens only; the length bound (the window must
+prefix is its rarest token, and a window with a token that no document holds is dropped. Documents are joined on prefix tokens only; the length bound (the window must
 fit into the document) and the positional bound (the token must stand as far into the document as it stands in the window)
 go first, and what is left is compared word by word.
 
-The first pass reads every whole document once, keeps the texts that hold any token and counts the tokens; the second
-verifies those. Items are taken in blocks whose windows are at most MAX_WINDOWS, which bounds what is broadcast; each block
-is joined with all documents.
+Both sides are tables of any size. Documents are read once: a filter of the tokens' bits, the only thing that is broadcast and at most MOST_BITS large,
+leaves the shingles that can be tokens, with their positions, and the texts that have one. Rarity, prefixes, candidates and items are joins on tokens, rows and windows; a token that
+stands in many documents is a hot key of a plain join, which Spark splits. A filter that is full lets more shingles through and changes no result.
 
 Edge cases: null or empty texts have no words and no hits; items without words never occur; repeated items each count; a null item id
 counts as a hit of words but isn't listed; null document ids and repeated rows are kept, a row each. Other columns are never read.
@@ -16,9 +16,7 @@ counts as a hit of words but isn't listed; null document ids and repeated rows a
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,123 +28,102 @@ from tallyforge.llm.words import grams, slices, words
 
 WINDOW = 10
 SHINGLE = 5
-#: Windows in a block of items; about 100 bytes each are broadcast.
-MAX_WINDOWS = 500_000
+#: Bits of the filter: so many for each token, within these bounds (512 KB and 64 MB).
+BITS_A_TOKEN, LEAST_BITS, MOST_BITS = 64, 1 << 22, 1 << 29
 #: Most document keys (about 30 bytes each) that are broadcast to filter rows; beyond it the same join shuffles.
 BROADCAST_ROWS = 1_000_000
 
 
-@dataclass
-class Windows:
-    """Distinct windows of a block of items, and the tokens of each."""
-
-    texts: list[bytes]
-    length: np.ndarray
-    items: list[list[str]]  # ids of the items that hold the window
-    token: np.ndarray  # (windows x positions) hashes, 0 where a window has fewer
-    size: np.ndarray  # words in a token
-
-
-def windows_of(items: list[tuple[str | None, str]]) -> Windows:
-    w = words(pa.array([t for _, t in items], pa.string()))
-    found: dict[bytes, tuple[int, list[str]]] = {}
-    tokens: dict[bytes, list[int]] = {}
-    hashes = {}
-    for k in range(1, SHINGLE + 1):
-        at, value = grams(w, k)
-        hashes[k] = dict(zip(at.tolist(), value.tolist(), strict=True))
-    for r, (name, _) in enumerate(items):
-        a, b = int(w.first[r]), int(w.first[r + 1])
-        length = min(WINDOW, b - a)
-        size = min(SHINGLE, length)
-        for start in range(a, b - length + 1) if length else ():
-            text = b" ".join(w.text(i) for i in range(start, start + length))
-            names = found.setdefault(text, (length, []))[1]
-            if name is not None and (not names or names[-1] != name):
-                names.append(name)
-            if text not in tokens:
-                tokens[text] = [hashes[size][i] for i in range(start, start + length - size + 1)]
-    texts = list(found)
-    width = max((len(tokens[t]) for t in texts), default=1)
-    token = np.zeros((len(texts), width), np.uint64)
-    for i, t in enumerate(texts):
-        token[i, : len(tokens[t])] = tokens[t]
-    length = np.array([found[t][0] for t in texts], np.int64)
-    return Windows(texts, length, [sorted(set(found[t][1])) for t in texts], token, np.minimum(length, SHINGLE))
-
-
-def _distinct(*parts: np.ndarray) -> np.ndarray:
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-
-
-def _scan(sizes: dict[int, np.ndarray]):
-    """First pass: words counted, texts that hold a token kept, with the distinct tokens they hold."""
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(item_id, text) to the windows of each item: its words, their number and the tokens in order."""
+    for batch in batches:
+        for low, high in slices(batch.column("text")):
+            part = batch.slice(low, high - low)
+            w = words(part.column("text"))
+            of = {k: dict(zip(*(v.tolist() for v in grams(w, k)), strict=True)) for k in range(1, SHINGLE + 1)}
+            item, window, length, tokens = [], [], [], []
+            for name, a, b in zip(part.column("item_id").to_pylist(), w.first[:-1].tolist(), w.first[1:].tolist(), strict=True):
+                n = min(WINDOW, b - a)
+                size = min(SHINGLE, n)
+                for start in range(a, b - n + 1) if n else ():
+                    item.append(name)
+                    window.append(b" ".join(w.text(i) for i in range(start, start + n)))
+                    length.append(n)
+                    tokens.append([of[size][i] for i in range(start, start + n - size + 1)])
+            flat = np.array([t for ts in tokens for t in ts], np.uint64).view(np.int64)
+            ends = pa.array(np.concatenate([[0], np.cumsum([len(ts) for ts in tokens])]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(window, pa.binary()), pa.array(length, pa.int32()), pa.ListArray.from_arrays(ends, pa.array(flat))], names=["item_id", "window", "length", "tokens"])
+
+
+def _filter(tokens: DataFrame) -> np.ndarray:
+    """Two bits for each token, as 64-bit words; the driver gets at most MOST_BITS / 64 of them."""
+    bits = LEAST_BITS
+    wanted = tokens.count() * BITS_A_TOKEN
+    while bits < min(wanted, MOST_BITS):
+        bits *= 2
+    at = F.explode(F.array(F.col("token").bitwiseAND(bits - 1), F.shiftrightunsigned("token", 32).bitwiseAND(bits - 1))).alias("at")
+    parts = tokens.select(at).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[parts["word"].to_numpy()] = parts["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _passes(bits: np.ndarray, value: np.ndarray) -> np.ndarray:
+    mask = np.uint64(len(bits) * 64 - 1)
+
+    def probe(at: np.ndarray) -> np.ndarray:
+        return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+    found = np.flatnonzero(probe(value & mask))
+    return found[probe((value[found] >> np.uint64(32)) & mask)]
+
+
+def _scan(sizes: list[int], shared):
+    """The pass over the documents: words counted; shingles that the filter lets through, with the word they begin at; texts that have one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for batch in batches:
             for low, high in slices(batch.column("text")):
                 part = batch.slice(low, high - low)
                 w = words(part.column("text"))
-                held: list[list[int] | None] = [None] * part.num_rows
-                for k, known in sizes.value.items():
-                    at, value = grams(w, k)
-                    where = np.minimum(np.searchsorted(known, value), len(known) - 1)
-                    hit = np.flatnonzero(known[where] == value)
-                    if len(hit):
-                        pairs = np.unique(np.stack([w.row[at[hit]], where[hit]]), axis=1)
-                        cut = np.flatnonzero(np.diff(pairs[0])) + 1
-                        for rows, marks in zip(np.split(pairs[0], cut), np.split(pairs[1], cut), strict=True):
-                            held[rows[0]] = (held[rows[0]] or []) + known[marks].view(np.int64).tolist()
-                text = part.column("text").take(pa.array([None if h is None else i for i, h in enumerate(held)], pa.int64()))
+                row, at, token = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+                for k in sizes:
+                    start, value = grams(w, k)
+                    hit = _passes(bits, value)
+                    row.append(w.row[start[hit]])
+                    at.append(start[hit] - w.first[row[-1]])
+                    token.append(value[hit])
+                row, at, token = np.concatenate(row), np.concatenate(at), np.concatenate(token)
+                order = np.argsort(row, kind="stable")
+                many = np.bincount(row, minlength=part.num_rows)
+                ends = pa.array(np.concatenate([[0], np.cumsum(many)]).astype(np.int32))
+                text = part.column("text").take(pa.array(np.arange(part.num_rows), mask=many == 0))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("rid"), part.column("doc_id"), pa.array(w.count.astype(np.int64)), text, pa.array(held, pa.list_(pa.int64()))],
-                    names=["rid", "doc_id", "n_words", "text", "held"],
+                    [part.column("rid"), part.column("doc_id"), pa.array(w.count.astype(np.int64)), text, pa.ListArray.from_arrays(ends, pa.array(token[order].view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(at[order].astype(np.int32)))],
+                    names=["rid", "doc_id", "n_words", "text", "token", "at"],
                 )
 
     return run
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents that hold each token, summed within the task before the shuffle."""
-    total: dict[int, int] = {}
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate windows of a text, compared word by word: merged ranges of hit words, their number and the windows found."""
     for batch in batches:
-        values, n = np.unique(batch.column("held").flatten().to_numpy(), return_counts=True)
-        for v, c in zip(values.tolist(), n.tolist(), strict=True):
-            total[v] = total.get(v, 0) + c
-    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["token", "n"])
-
-
-def _verify(shared):
-    """Second pass: candidates from prefix tokens, bounds, then the words themselves. Emits hit ranges and items."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wins, prefix = shared.value
-        for batch in batches:
-            for low, high in slices(batch.column("text")):
-                part = batch.slice(low, high - low)
-                w = words(part.column("text"))
-                ranges: list[list[tuple[int, int]]] = [[] for _ in range(part.num_rows)]
-                items: list[set[str]] = [set() for _ in range(part.num_rows)]
-                for k, (token, window, offset) in prefix.items():
-                    at, value = grams(w, k)
-                    a, b = np.searchsorted(token, value), np.searchsorted(token, value, side="right")
-                    found = np.flatnonzero(b > a)
-                    many = (b - a)[found]
-                    i = np.repeat(at[found], many)
-                    e = np.repeat(a[found], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                    start, length, row = i - offset[e], wins.length[window[e]], w.row[i]
-                    fits = (start >= w.first[row]) & (start + length <= w.first[row + 1])
-                    for s, n, r, x in zip(start[fits].tolist(), length[fits].tolist(), row[fits].tolist(), window[e][fits].tolist(), strict=True):
-                        if b" ".join(w.text(j) for j in range(s, s + n)) == wins.texts[x]:
-                            ranges[r].append((s - int(w.first[r]), s - int(w.first[r]) + n))
-                            items[r].update(wins.items[x])
-                merged = [_merge(x) for x in ranges]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("rid"), pa.array([[v for ab in m for v in ab] for m in merged], pa.list_(pa.int64())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                    names=["rid", "ranges", "items"],
-                )
-
-    return run
+        for low, high in slices(batch.column("text")):
+            part = batch.slice(low, high - low)
+            w = words(part.column("text"))
+            ranges, found = [], []
+            for r, cands in enumerate(part.column("cands").to_pylist()):
+                first = int(w.first[r])
+                same = [c for c in cands if b" ".join(w.text(i) for i in range(first + c["start"], first + c["start"] + c["length"])) == c["window"]]
+                ranges.append(_merge([(c["start"], c["start"] + c["length"]) for c in same]))
+                found.append(list({c["window"] for c in same}))
+            hits = [sum(b - a for a, b in m) for m in ranges]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("rid"), pa.array(hits, pa.int64()), pa.array([[v for ab in m for v in ab] for m in ranges], pa.list_(pa.int64())), pa.array(found, pa.list_(pa.binary()))],
+                names=["rid", "n_hit", "ranges", "found"],
+            )
 
 
 def _merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -159,68 +136,37 @@ def _merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins what the blocks of items found in a document."""
-    for batch in batches:
-        hits, n_items, digest, ranges, names = [], [], [], [], []
-        for found, listed in zip(batch.column("ranges").to_pylist(), batch.column("items").to_pylist(), strict=True):
-            merged = _merge([(r[i], r[i + 1]) for r in found for i in range(0, len(r), 2)])
-            items = sorted({x for y in listed for x in y})
-            hits.append(sum(b - a for a, b in merged))
-            n_items.append(len(items))
-            names.append(items)
-            ranges.append([v for ab in merged for v in ab])
-            digest.append(hashlib.sha256(",".join(items).encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(hits, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digest, pa.string()), pa.array(names, pa.list_(pa.string())), pa.array(ranges, pa.list_(pa.int64()))], names=["rid", "n_hit", "n_items", "items_sha256", "items", "ranges"])
-
-
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> list[DataFrame]:
-    """The items that have a word, split by hash into blocks of about MAX_WINDOWS windows."""
-    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-    letters = F.coalesce(F.sum(F.octet_length("text")), F.lit(0))  # a window for every two bytes at most
-    n = -(-(items.agg(letters).first()[0]) // (2 * MAX_WINDOWS)) or 1
-    return [items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b) for b in range(n)] if n > 1 else [items]
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items, ranges) of every document; ranges are merged word positions [from, to, ...] of its hits."""
     spark = docs.sparkSession
-    bounded_batches(docs.sparkSession)
+    bounded_batches(spark)
+    items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
+    windows = written(items.mapInArrow(_windows, "item_id string, window binary, length int, tokens array<long>"), "windows")
+    tokens = written(windows.select(F.explode("tokens").alias("token")).distinct(), "tokens")
+    sizes = sorted({min(SHINGLE, r["length"]) for r in windows.select("length").distinct().collect()})
+    shared = spark.sparkContext.broadcast(_filter(tokens))
     base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = _blocks(benchmark, item_col, item_text_col)
-    if len(blocks) > 1:  # all blocks need the same numbers
-        base = written(base, "numbered")
     kind = base.schema["doc_id"].dataType.simpleString()
-    counted, found = None, []
-    for block in blocks:
-        wins = windows_of([(r["item_id"], r["text"]) for r in block.collect()])
-        if not wins.texts and counted is not None:
-            continue
-        sizes = spark.sparkContext.broadcast({int(k): _distinct(*(t[t != 0] for t in wins.token[wins.size == k])) for k in np.unique(wins.size)})
-        scanned = written(base.mapInArrow(_scan(sizes), f"rid long, doc_id {kind}, n_words long, text string, held array<long>"), "scanned")
-        counted = counted if counted is not None else scanned
-        rarity = {r["token"]: r["n"] for r in scanned.where("held is not null").select("held").mapInArrow(_tally, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect()}
-        seen = np.array([[rarity.get(t, 0) for t in row] for row in wins.token.view(np.int64).tolist()], np.int64).reshape(wins.token.shape)
-        seen = np.where(wins.token == 0, np.iinfo(np.int64).max, seen)
-        place = np.argmin(seen, axis=1) if len(wins.texts) else np.zeros(0, np.int64)
-        prefix = {}
-        for k in np.unique(wins.size).tolist():
-            at = np.flatnonzero((wins.size == k) & (seen.min(axis=1) > 0))
-            token = wins.token[at, place[at]]
-            order = np.argsort(token, kind="stable")
-            prefix[k] = (token[order], at[order], place[at][order])
-        shared = spark.sparkContext.broadcast((wins, prefix))
-        found.append(scanned.where("held is not null").select("rid", "text").mapInArrow(_verify(shared), "rid long, ranges array<long>, items array<string>").where("size(ranges) > 0"))
-    joined = found[0]
-    for more in found[1:]:
-        joined = joined.unionByName(more)
-    grouped = joined.groupBy("rid").agg(F.collect_list("ranges").alias("ranges"), F.collect_list("items").alias("items"))  # one row a block
-    hit = grouped.mapInArrow(_finish, "rid long, n_hit long, n_items long, items_sha256 string, items array<string>, ranges array<long>")
-    none = F.lit(hashlib.sha256(b"").hexdigest())
-    zero = F.lit(0).cast("long")
-    return counted.select("rid", "doc_id", "n_words").join(hit, "rid", "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.coalesce("n_items", zero).alias("n_items"), F.coalesce("items_sha256", none).alias("items_sha256"),
-        F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("ranges", F.array().cast("array<long>")).alias("ranges"),
+    scanned = written(base.mapInArrow(_scan(sizes, shared), f"rid long, doc_id {kind}, n_words long, text string, token array<long>, at array<int>"), "scanned")
+
+    held = scanned.where("text is not null")
+    rarity = held.select(F.explode(F.array_distinct("token")).alias("token")).groupBy("token").agg(F.count("*").alias("n")).join(tokens, "token")
+    each = windows.select("window", "length", "tokens").distinct().select("window", "length", F.size("tokens").alias("most"), F.posexplode("tokens").alias("offset", "token"))
+    rarest = F.min(F.struct("n", "offset", "token")).alias("p")
+    prefix = each.join(rarity, "token").groupBy("window", "length", "most").agg(F.count("*").alias("there"), rarest).where("there = most").select("window", "length", "p.offset", "p.token")
+    hits = held.select("rid", "n_words", F.explode(F.arrays_zip("token", "at")).alias("h")).select("rid", "n_words", "h.token", "h.at")
+    start = F.col("at") - F.col("offset")
+    cands = hits.join(written(prefix, "prefixes"), "token").where((start >= 0) & (start + F.col("length") <= F.col("n_words")))
+    grouped = cands.groupBy("rid").agg(F.collect_list(F.struct(start.alias("start"), "length", "window")).alias("cands"))  # a text's own windows
+    found = written(held.select("rid", "text").join(grouped, "rid").mapInArrow(_verify, "rid long, n_hit long, ranges array<long>, found array<binary>").where("n_hit > 0"), "found")
+    named = windows.where("item_id is not null").select("window", "item_id").distinct()
+    listed = found.select("rid", F.explode("found").alias("window")).join(named, "window").groupBy("rid").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    hit = found.select("rid", "n_hit", "ranges").join(listed, "rid", "left")
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<string>")
+    out = scanned.select("rid", "doc_id", "n_words").join(hit, "rid", "left").withColumn("items", F.coalesce("items", none))
+    return out.select(
+        "doc_id", "n_words", F.coalesce("n_hit", zero).alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"), "items", F.coalesce("ranges", F.array().cast("array<long>")).alias("ranges"),
     )
 
 

@@ -41,8 +41,9 @@ def test_brute_force(spark, monkeypatch):
     d = spark.createDataFrame(docs, "doc_id long, text string")
     b = spark.createDataFrame(items, "item_id long, text string")
     expected = {i: brute(t, items) for i, t in docs}
-    for most in (500_000, 40):  # one block of items, or several
-        monkeypatch.setattr(dc, "MAX_WINDOWS", most)
+    for bits in (1 << 22, 1 << 11, 1 << 6):  # a filter with room, a crowded one and one that lets all through
+        monkeypatch.setattr(dc, "LEAST_BITS", bits)
+        monkeypatch.setattr(dc, "MOST_BITS", bits)
         got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in dc.contamination(d, b).collect()}
         assert got == expected
     clean = {r["doc_id"] for r in dc.cleaned(d, b).collect()}
@@ -59,3 +60,24 @@ def test_edges(spark, odd_docs, no_docs):
     assert dc.cleaned(odd_docs, b).columns == odd_docs.columns
     assert dc.contamination(no_docs, b).count() == 0
     assert dc.contamination(odd_docs, b.limit(0)).where("contaminated").count() == 0
+
+
+def test_filter_has_all_tokens(spark):
+    """The driver's filter knows every token and few others, of whatever number they are."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    known, other = rng.integers(-(1 << 63), (1 << 63) - 1, 100_000), rng.integers(-(1 << 63), (1 << 63) - 1, 100_000)
+    bits = dc._filter(spark.createDataFrame([(int(k),) for k in known], "token long"))
+    assert len(bits) * 64 == 1 << 23
+    assert len(dc._passes(bits, known.view(np.uint64))) == len(known)
+    assert len(dc._passes(bits, other.view(np.uint64))) < 0.002 * len(other)
+
+
+def test_one_pass_over_the_documents(spark, tmp_path):
+    """However many items there are, the documents are scanned once; only the broadcast filter and tables of hits follow the benchmark."""
+    docs = [(i, " ".join(f"w{(i * 7 + j * (1 + i % 3)) % 997}" for j in range(60))) for i in range(50)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/d.parquet")
+    items = [(i, " ".join(f"w{(i + j * (1 + i % 3)) % 997}" for j in range(14))) for i in range(600)]
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in dc.contamination(spark.read.parquet(f"{tmp_path}/d.parquet"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {i: brute(t, items)[1:3] for i, t in docs} and any(n for n, _ in got.values())
