@@ -55,11 +55,10 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(item, pa.string()), pa.array(window, pa.binary()), pa.array(length, pa.int32()), pa.ListArray.from_arrays(ends, pa.array(flat))], names=["item_id", "window", "length", "tokens"])
 
 
-def _filter(tokens: DataFrame) -> np.ndarray:
-    """Two bits for each token, as 64-bit words; the driver gets at most MOST_BITS / 64 of them."""
+def _filter(tokens: DataFrame, n: int) -> np.ndarray:
+    """Two bits for each of about ``n`` tokens, as 64-bit words; the driver gets at most MOST_BITS / 64 of them."""
     bits = LEAST_BITS
-    wanted = tokens.count() * BITS_A_TOKEN
-    while bits < min(wanted, MOST_BITS):
+    while bits < min(n * BITS_A_TOKEN, MOST_BITS):
         bits *= 2
     at = F.explode(F.array(F.col("token").bitwiseAND(bits - 1), F.shiftrightunsigned("token", 32).bitwiseAND(bits - 1))).alias("at")
     parts = tokens.select(at).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
@@ -142,21 +141,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     bounded_batches(spark)
     items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     windows = written(items.mapInArrow(_windows, "item_id string, window binary, length int, tokens array<long>"), "windows")
-    tokens = written(windows.select(F.explode("tokens").alias("token")).distinct(), "tokens")
-    sizes = sorted({min(SHINGLE, r["length"]) for r in windows.select("length").distinct().collect()})
-    shared = spark.sparkContext.broadcast(_filter(tokens))
+    token = windows.select(F.explode("tokens").alias("token"))
+    about = windows.agg(F.count("*").alias("n"), F.collect_set(F.least("length", F.lit(SHINGLE))).alias("sizes")).first()  # neighbouring windows share tokens
+    sizes = sorted(about["sizes"])
+    shared = spark.sparkContext.broadcast(_filter(token, about["n"]))
     base = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
     scanned = written(base.mapInArrow(_scan(sizes, shared), f"rid long, doc_id {kind}, n_words long, text string, token array<long>, at array<int>"), "scanned")
 
     held = scanned.where("text is not null")
-    rarity = held.select(F.explode(F.array_distinct("token")).alias("token")).groupBy("token").agg(F.count("*").alias("n")).join(tokens, "token")
+    rarity = held.select(F.explode(F.array_distinct("token")).alias("token")).groupBy("token").agg(F.count("*").alias("n")).join(token.distinct(), "token")
     each = windows.select("window", "length", "tokens").distinct().select("window", "length", F.size("tokens").alias("most"), F.posexplode("tokens").alias("offset", "token"))
     rarest = F.min(F.struct("n", "offset", "token")).alias("p")
     prefix = each.join(rarity, "token").groupBy("window", "length", "most").agg(F.count("*").alias("there"), rarest).where("there = most").select("window", "length", "p.offset", "p.token")
     hits = held.select("rid", "n_words", F.explode(F.arrays_zip("token", "at")).alias("h")).select("rid", "n_words", "h.token", "h.at")
     start = F.col("at") - F.col("offset")
-    cands = hits.join(written(prefix, "prefixes"), "token").where((start >= 0) & (start + F.col("length") <= F.col("n_words")))
+    cands = hits.join(prefix, "token").where((start >= 0) & (start + F.col("length") <= F.col("n_words")))
     grouped = cands.groupBy("rid").agg(F.collect_list(F.struct(start.alias("start"), "length", "window")).alias("cands"))  # a text's own windows
     found = written(held.select("rid", "text").join(grouped, "rid").mapInArrow(_verify, "rid long, n_hit long, ranges array<long>, found array<binary>").where("n_hit > 0"), "found")
     named = windows.where("item_id is not null").select("window", "item_id").distinct()

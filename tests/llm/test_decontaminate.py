@@ -68,7 +68,7 @@ def test_filter_has_all_tokens(spark):
 
     rng = np.random.default_rng(2)
     known, other = rng.integers(-(1 << 63), (1 << 63) - 1, 100_000), rng.integers(-(1 << 63), (1 << 63) - 1, 100_000)
-    bits = dc._filter(spark.createDataFrame([(int(k),) for k in known], "token long"))
+    bits = dc._filter(spark.createDataFrame([(int(k),) for k in known], "token long"), len(known))
     assert len(bits) * 64 == 1 << 23
     assert len(dc._passes(bits, known.view(np.uint64))) == len(known)
     assert len(dc._passes(bits, other.view(np.uint64))) < 0.002 * len(other)
