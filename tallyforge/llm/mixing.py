@@ -5,9 +5,12 @@ prefix sums of the expected copies, plus one random offset for the source, cross
 integer crossed in its own step, so it's taken the floor or the ceiling of its expectation. Documents are summed up by falling
 size, which keeps the words taken within the largest document's size of the target.
 
-The prefix sum is taken in two levels, so that a source of any size is split: documents are counted in cells (source, size
-class, salt), the cells' counts are summed up by source, and rows are numbered only within their cell. Size classes grow by 1/64 above 256 words,
-so a source has a few thousand cells for each salt; the number of salts follows the number of rows.
+The prefix sum is taken in three levels, so that a source of any size is split: by source over its size classes, within a class over its salts, and within a salt row by row.
+Size classes grow by 1/64 above 256 words, so a source has a few thousand at most; the number of salts follows the class's own rows (one for each CELL_ROWS),
+so no task numbers many more rows than that. Weights and targets are found on the cluster, too: sources are ranked by a distributed sort, and each round of resharing is one
+aggregate, of which the driver gets two numbers.
+
+Random order and offsets come from MD5 of the seed with id and text, so any engine can recompute them.
 
 Edge cases: a null text has size 0; documents of size 0 take nothing; a source of only such documents has target 0; a null source is a
 source, last in order; repeated rows are sampled each on its own, null ids are kept; an empty table gives an empty result. Clashing column names are never
@@ -17,6 +20,7 @@ read: the columns in use are renamed first.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +35,9 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2.0
 SEED = 20240607
-#: Rows of a cell that a salt is added for.
+#: Rows of a size class that a salt is added for.
 CELL_ROWS = 200_000
-#: Most cells (about 40 bytes each) that are broadcast to the rows; beyond it the same join shuffles. As much holds for sources.
+#: Most size classes, or salts, (about 60 bytes each) that are broadcast to the rows; beyond it the same join shuffles.
 BROADCAST_ROWS = 500_000
 
 
@@ -62,77 +66,95 @@ def with_size(df: DataFrame, text_col: str, keep_text: bool = True) -> DataFrame
     return df.mapInArrow(run, StructType([df.schema[c] for c in kept]).add("size", "long"))
 
 
-def _unit(*cols) -> Column:
-    """A number in [0, 1) from a hash."""
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 52)) / F.lit(float(1 << 52))
+def _hash(*parts: Column) -> Column:
+    """48 bits of the MD5 of the parts, joined by colons."""
+    return F.conv(F.left(F.md5(F.concat_ws(":", *parts)), F.lit(12)), 16, 10).cast("long")
+
+
+_RANGE = float(1 << 48)
+
 
+def _same(*names: str) -> Column:
+    """Joins on columns of which the right one has a leading __."""
+    return reduce(lambda a, b: a & b, (F.col(n).eqNullSafe(F.col(f"__{n}")) for n in names))
 
-def targets(sizes: list[tuple[str | None, int]], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> dict[str | None, float]:
-    """Target of each source: shares of ``share`` times all sizes by repeating weights, at most ``most`` times its size; the excess is shared again by weight."""
-    order = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
-    weight = {s: float(weights[i % len(weights)]) for i, (s, _) in enumerate(order)}
-    limit = {s: most * n for s, n in order}
-    left, open_, out = share * sum(n for _, n in order), [s for s, _ in order], {}
-    while open_:
-        total = sum(weight[s] for s in open_)
-        full = [s for s in open_ if left * weight[s] / total > limit[s]]
-        if not full:
-            out |= {s: left * weight[s] / total for s in open_}
+
+def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
+    """``sizes(source, n)``, one row a source, to (source, source_size, target): shares of ``share`` times all sizes by repeating weights, at most ``most`` times a source's size; the excess is shared again by weight."""
+    in_order = F.col("source").asc_nulls_last()
+    ordered = written(sizes.orderBy(in_order).select("source", "n", F.spark_partition_id().alias("part")), "sources")
+    parts = ordered.groupBy("part").agg(F.count("*").alias("rows"))
+    before = parts.select(F.col("part").alias("__part"), (F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).alias("before"))  # one row a partition of the sort
+    rank = F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(in_order)) - 1
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (rank % len(weights) + 1).cast("int"))
+    plan = written(ordered.join(before, _same("part")).select("source", "n", weight.alias("weight"), (most * F.col("n")).alias("most")), "weighted")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
+    now = plan.agg(total(share * F.col("n")).alias("left"), total("weight").alias("total")).first()
+    everything, left, open_ = now["left"], now["left"], now["total"]
+    while open_:  # ends: each round closes a source at least
+        full = left * F.col("weight") / open_ > F.col("most")
+        now = plan.agg(total(F.when(full, F.col("most"))).alias("taken"), total(F.when(~full, F.col("weight"))).alias("open")).first()
+        if now["open"] == open_:
             break
-        out |= {s: limit[s] for s in full}
-        left -= sum(limit[s] for s in full)
-        open_ = [s for s in open_ if s not in out]
-    return out
+        left, open_ = everything - now["taken"], now["open"]
+    fair = left * F.col("weight") / (open_ or 1.0)
+    return plan.select("source", F.col("n").alias("source_size"), F.least(fair, "most").alias("target"))
 
 
-def sampled(sized: DataFrame, narrow: DataFrame, key_cols: list[str], seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
-    """``sized`` (columns ``size`` and ``source`` and ``key_cols``, which order equal sizes) with source_size, target and copies added.
+def sampled(sized: DataFrame, narrow: DataFrame, seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
+    """``sized`` (columns ``size``, ``source``, ``doc_id`` and ``u``, the random order of equal sizes) with source_size, target and copies added.
 
     ``narrow`` has these columns of the same rows; what is counted beforehand is counted on it.
     """
-    spark = sized.sparkSession
-    sources = narrow.groupBy("source").agg(F.sum("size").alias("n"), F.count("*").alias("rows")).collect()  # one row a source
-    goal = targets([(r["source"], r["n"]) for r in sources], weights, share, most)
-    n_salts = 1 + max((r["rows"] for r in sources), default=0) // CELL_ROWS
-    plan = spark.createDataFrame([(r["source"], r["n"], goal[r["source"]], goal[r["source"]] / r["n"] if r["n"] else 0.0) for r in sources], "__source string, source_size long, target double, expected double")
     size = F.col("size")
     octave = F.when(size > 0, F.floor(F.log2(size.cast("double")))).otherwise(0)
     size_class = F.when(size < 256, size).otherwise(256 + octave * 64 + F.floor((size / F.pow(F.lit(2.0), octave) - 1) * 64)).cast("long")
-    # equal sizes are in random order; the salt is that order's upper part, so rows stay sorted by it over the salts of a class
-    celled = lambda df: df.withColumns({"__cell": -size_class, "__u": _unit(F.lit(seed), *key_cols)}).withColumn("__salt", F.floor(F.col("__u") * n_salts))
-    rows = celled(sized)
-    cell = ["source", "__cell", "__salt"]
-    counts = written(celled(narrow).groupBy(*cell).agg(F.count("*").alias("__rows")), "cells")
-    before = counts.withColumn("__before", F.sum("__rows").over(Window.partitionBy("source").orderBy("__cell", "__salt")) - F.col("__rows")).drop("__rows")
-    at = before.withColumnsRenamed({"source": "__s", "__cell": "__c", "__salt": "__k"})
-    if counts.count() <= BROADCAST_ROWS:
-        at = F.broadcast(at)
-    numbered = rows.withColumn("__n", F.row_number().over(Window.partitionBy(*cell).orderBy(F.desc("size"), "__u", *key_cols)))
-    joined = numbered.join(at, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__cell") == F.col("__c")) & (F.col("__salt") == F.col("__k")))
-    planned = joined.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("__source"))) if len(sources) <= BROADCAST_ROWS else joined.join(plan, F.col("source").eqNullSafe(F.col("__source")))
-    last = F.col("__before") + F.col("__n")
-    offset = _unit(F.lit(seed), F.lit("offset"), F.coalesce("source", F.lit("")), F.col("source").isNull())
-    copies = F.floor(last * F.col("expected") + offset) - F.floor((last - 1) * F.col("expected") + offset)
+    classed = lambda df: df.withColumn("__cls", -size_class)
+    classes = written(classed(narrow).groupBy("source", "__cls").agg(F.count("*").alias("rows"), F.sum("size").alias("n")), "size-classes")
+    goal = targets(classes.groupBy("source").agg(F.sum("n").alias("n")), weights, share, most).withColumnRenamed("source", "__source")
+    before = F.sum("rows").over(Window.partitionBy("source").orderBy("__cls")) - F.col("rows")
+    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    offset = _hash(F.lit(seed), F.lit("offset"), F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))) / F.lit(_RANGE)
+    plan = classes.withColumns({"before": before, "salts": 1 + F.floor(F.col("rows") / CELL_ROWS)}).join(goal, _same("source"))
+    plan = written(plan.select(F.col("source").alias("__source"), F.col("__cls").alias("____cls"), "before", "salts", "source_size", "target", expected.alias("expected"), offset.alias("offset")), "size-class-plan")
+    small = lambda df: F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    salted = lambda df: df.join(near, _same("source", "__cls")).drop("__source", "____cls").withColumn("__salt", F.floor(F.col("u") / F.lit(_RANGE) * F.col("salts")))
+    near = small(plan)
+    # the salt is the upper part of the random order
+    cells = salted(classed(narrow)).where("salts > 1").groupBy("source", "__cls", "__salt").agg(F.count("*").alias("rows"))
+    above = F.sum("rows").over(Window.partitionBy("source", "__cls").orderBy("__salt")) - F.col("rows")
+    cells = written(cells.select(F.col("source").alias("__source"), F.col("__cls").alias("____cls"), F.col("__salt").alias("____salt"), above.alias("above")), "salts")
+    rows = salted(classed(sized))
+    numbered = rows.withColumn("__n", F.row_number().over(Window.partitionBy("source", "__cls", "__salt").orderBy(F.desc("size"), "u", "doc_id")))
+    joined = numbered.join(small(cells), _same("source", "__cls", "__salt"), "left")
+    last = F.col("before") + F.coalesce("above", F.lit(0)) + F.col("__n")
+    copies = F.floor(last * F.col("expected") + F.col("offset")) - F.floor((last - 1) * F.col("expected") + F.col("offset"))
     whole = F.when(F.col("expected") == F.floor("expected"), F.col("expected").cast("long")).otherwise(copies)  # exact where no sampling is needed
-    return planned.withColumn("copies", F.when(size > 0, whole).otherwise(0).cast("long")).select(*sized.columns, "source_size", "target", "copies")
+    return joined.withColumn("copies", F.when(size > 0, whole).otherwise(0).cast("long")).select(*sized.columns, "source_size", "target", "copies")
+
+
+def _used(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> list[Column]:
+    """The columns in use: doc_id, source, u and text."""
+    text = F.col(text_col).cast("string")
+    u = _hash(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit(""))))
+    return [F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), u.alias("u"), text.alias("text")]
 
 
-def _narrow(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(doc_id, source, content, size), written once."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("content"), F.col(text_col).cast("string").alias("text"))
-    return written(with_size(base, "text", keep_text=False), "sizes")
+def _narrow(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """(doc_id, source, u, size), written once."""
+    return written(with_size(docs.select(*_used(docs, id_col, text_col, source_col, seed)), "text", keep_text=False), "sizes")
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) of every document; reruns on the same rows agree."""
-    narrow = _narrow(docs, id_col, text_col, source_col)
-    return sampled(narrow, narrow, ["doc_id", "content"], seed).withColumn("taken", F.col("copies") * F.col("size")).drop("content")
+    narrow = _narrow(docs, id_col, text_col, source_col, seed)
+    return sampled(narrow, narrow, seed).withColumn("taken", F.col("copies") * F.col("size")).drop("u")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it's taken, with ``copy`` (from 1; another name if there is such a column) added."""
     copy = next(n for n in ("copy", "copy_no", "copy_of_mix", "__copy") if n not in docs.columns)
-    narrow = _narrow(docs, id_col, text_col, source_col)
-    wide = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.xxhash64(text_col).alias("content"), F.col(text_col).cast("string").alias("text"))
-    taken = sampled(with_size(wide, "text", keep_text=False), narrow, ["doc_id", "content"], seed).where("copies > 0")
+    narrow = _narrow(docs, id_col, text_col, source_col, seed)
+    wide = docs.select(F.struct("*").alias("row"), *_used(docs, id_col, text_col, source_col, seed))
+    taken = sampled(with_size(wide, "text", keep_text=False), narrow, seed).where("copies > 0")
     return taken.withColumn("__copy_no", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*", F.col("__copy_no").alias(copy))

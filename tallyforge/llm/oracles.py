@@ -77,8 +77,22 @@ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f
 """
 
+_ABOVE = "(ORDER BY most / weight, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+#: Targets by one sort: the sources that reach their limit are those of the least limit for their weight. Copies by the prefix sums themselves.
+MIX = rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, ('0x' || left(md5('20240607:' || doc_id || ':' || md5(coalesce(text, ''))), 12))::BIGINT AS u FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r FROM d GROUP BY source),
+w AS (SELECT *, [5.0, 2.0, 1.0][r % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * n AS most FROM s),
+o AS (SELECT *, (SELECT 1.5::DOUBLE * sum(n) FROM w) - coalesce(sum(most) OVER {_ABOVE}, 0) AS unspent, (SELECT sum(weight) FROM w) - coalesce(sum(weight) OVER {_ABOVE}, 0) AS total FROM w),
+c AS (SELECT unspent, total FROM o WHERE unspent * weight / total <= most ORDER BY most / weight, r LIMIT 1),
+t AS (SELECT source, n, least(c.unspent * weight / c.total, most) AS target, ('0x' || left(md5('20240607:offset:' || coalesce('=' || source, 'null')), 12))::BIGINT / 281474976710656.0::DOUBLE AS off FROM o, c),
+k AS (SELECT d.*, t.n, t.target, t.off, CASE WHEN t.n > 0 THEN t.target / t.n ELSE 0 END AS e, row_number() OVER (PARTITION BY d.source ORDER BY size DESC, u, doc_id) AS i FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size::BIGINT AS size, n AS source_size, target, (CASE WHEN size = 0 THEN 0 WHEN e = floor(e) THEN e ELSE floor(i * e + off) - floor((i - 1) * e + off) END * size)::BIGINT AS taken FROM k
+"""
+
 ORACLES: dict[str, str] = {
     "op3_secret_ledger": SECRETS,
+    "op4_mix_systematic": MIX,
     "op5_chat_fingerprint": CHAT,
     "op8_decontaminate": DECONTAMINATE,
     "op9_warc_index": WARC,
