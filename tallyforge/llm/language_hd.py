@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tallyforge.llm.storage import bounded_batches
 
@@ -99,21 +100,27 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, text) to one bundle a language, in whole numbers so that the order of summing doesn't matter."""
-    counts: dict[str, np.ndarray] = {}
+    """(lang, text) to one bundle a language, in whole numbers so that the order of summing doesn't matter.
+
+    A batch's trigrams are counted by language, then bundled; between batches a language holds DIMENSIONS numbers, so any number of languages fits."""
+    bundles: dict[str, np.ndarray] = {}
+    total: dict[str, int] = {}
     for batch in batches:
+        found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
             keys, n = trigrams(text.as_py())
             if len(keys):
-                if lang not in counts:
-                    counts[lang] = np.zeros(CLASSES**3, np.int64)
-                counts[lang][keys] += n
-    for lang, total in counts.items():
-        bundle, keys = np.zeros(DIMENSIONS, np.int64), np.flatnonzero(total)
-        for low in range(0, len(keys), 4096):
-            part = keys[low : low + 4096]
-            bundle += (trigram_vectors(part).astype(np.float64).T @ total[part]).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([int(total.sum())]), pa.array([bundle.tolist()], pa.list_(pa.int64()))], names=["lang", "n", "bundle"])
+                found.setdefault(lang, []).append((keys, n))
+        for lang, parts in found.items():
+            keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+            counts = np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
+            bundle = bundles.setdefault(lang, np.zeros(DIMENSIONS, np.int64))
+            total[lang] = total.get(lang, 0) + int(counts.sum())
+            for low in range(0, len(keys), 4096):
+                part = slice(low, low + 4096)
+                bundle += (trigram_vectors(keys[part]).astype(np.float64).T @ counts[part]).astype(np.int64)
+    for lang, bundle in bundles.items():
+        yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([total[lang]]), pa.array([bundle.tolist()], pa.list_(pa.int64()))], names=["lang", "n", "bundle"])
 
 
 def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text") -> list[tuple[str, np.ndarray]]:
@@ -128,7 +135,7 @@ def prototypes(labelled: DataFrame, lang_col: str = "lang", text_col: str = "tex
 
 
 def predictions(docs: DataFrame, known: list[tuple[str, np.ndarray]], text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score (the larger of 0 and the cosine) added; the other columns pass through."""
+    """``docs`` with lang_pred and score (the larger of 0 and the cosine) added; columns of these names are replaced, the others pass through."""
     bounded_batches(docs.sparkSession)
     names = [n for n, _ in known]
     matrix = np.stack([v for _, v in known]) if known else np.zeros((0, DIMENSIONS))
@@ -140,7 +147,7 @@ def predictions(docs: DataFrame, known: list[tuple[str, np.ndarray]], text_col:
         cache = _Cache()
         for batch in batches:
             lang, score = [], []
-            for text in batch.column("__text"):
+            for text in batch.column(-1):
                 keys, n = trigrams(text.as_py())
                 if not len(keys) or not names:
                     lang.append(UNDETERMINED)
@@ -154,11 +161,11 @@ def predictions(docs: DataFrame, known: list[tuple[str, np.ndarray]], text_col:
                 best = int(np.argmax(cosine))
                 lang.append(names[best])
                 score.append(float(min(1.0, max(0.0, cosine[best]))))
-            kept = [batch.column(c) for c in batch.schema.names if c != "__text"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*(c for c in batch.schema.names if c != "__text"), "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
-    return docs.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(judge, schema)
+    kept = [f for f in docs.schema if f.name not in ("lang_pred", "score")]
+    text = F.col(text_col).cast("string").alias("__text of the document")  # the last column, whatever the others are called
+    return docs.select(*(F.col(f"`{f.name}`") for f in kept), text).mapInArrow(judge, StructType([*kept, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def fold(id_col: str = "doc_id") -> Column:

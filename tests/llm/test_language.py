@@ -41,3 +41,25 @@ def test_edges(odd_docs, no_docs):
     assert by[3]["lang_pred"] == by[4]["lang_pred"] == by[5]["lang_pred"] == "und" and by[None]["held_out"] is False
     assert hd.identified(no_docs).count() == 0
     assert {r["lang_pred"] for r in hd.predictions(odd_docs.select("text"), []).collect()} == {"und"}
+
+
+def test_predictions_leave_their_input(spark):
+    """A frame can be judged twice, and may have columns of the results' names already."""
+    df = spark.createDataFrame([("the words of the text", 7, "x", "y")], "text string, score long, lang_pred string, __text string")
+    known = [("a", hd.trigram_vectors(np.array([1, 2])).sum(0).astype(float)), ("b", hd.trigram_vectors(np.array([3])).sum(0).astype(float))]
+    before = df.columns
+    for _ in range(2):
+        out = hd.predictions(df, known)
+        assert out.columns == ["text", "__text", "lang_pred", "score"] and out.first()["__text"] == "y" and out.first()["lang_pred"] in ("a", "b")
+    assert df.columns == before and df.schema.names == before
+
+
+def test_many_languages(spark):
+    """Bundles of any number of languages are learned exactly, batch by batch."""
+    rows = [(f"l{i % 60}", f"{chr(97 + i % 26)}{chr(97 + i % 7)} word{i}") for i in range(900)]
+    got = dict(hd.prototypes(spark.createDataFrame(rows, "lang string, text string")))
+    assert len(got) == 60
+    for lang in ("l0", "l37"):
+        parts = [hd.trigrams(t) for x, t in rows if x == lang]
+        total = sum(int(n.sum()) for _, n in parts)
+        assert np.allclose(got[lang], sum((hd.trigram_vectors(k).T.astype(float) @ n) for k, n in parts) / total)
