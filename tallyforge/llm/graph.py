@@ -8,16 +8,22 @@ from pyspark.sql import functions as F
 from tallyforge.llm.storage import discard, written
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One round. Minima are pre-aggregated map-side; the join back to a hub's edges is one that Spark can split."""
-    if large:
-        near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    else:
-        near = edges
-    low = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = near.join(low, "u")
-    moved = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")) if large else joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-    return moved.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Every node's larger neighbours go to its smallest. In ``edges(u, v)`` u is the larger end, so they are the u of its edges as v.
+
+    A node without a smaller neighbour keeps its edges as they are: only the others' minima, aggregated map-side, take part in the join. They are written first, so the join has a
+    shuffle on either side, which Spark can split at a hub."""
+    low = edges.select("u", F.col("v").alias("m")).groupBy("u").agg(F.min("m").alias("m"))
+    low = written(low.select(F.col("u").alias("v"), "m"), "minima")
+    return edges.join(low, "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Every node's smaller neighbours, of which few are left, and itself go to its smallest."""
+    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+    joined = edges.join(low, "u")
+    moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+    return moved.where("u <> v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
     mark = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     before = mark(state)
     while True:
-        after_state = written(_star(_star(state, True), False), "edges")
+        after_state = written(_small_star(_large_star(state)), "edges")
         after = mark(after_state)
         discard(state)
         state = after_state

@@ -1,10 +1,15 @@
 """N-gram Jaccard join with Bayesian candidate pruning.
 
 Rows with equal shingle sets become one class by a grouping. The distinct sets get MinHash values, banded so that a pair
-at the threshold shares a band with a probability of all but 1e-6. Sets that share a band are neighbours in a candidate
-graph; its components are cut into blocks of bounded size, and each pair of blocks is one task's work. There the pairs'
-MinHash values are compared 32 at a time and a pair goes as soon as the posterior probability (uniform prior) that its
-similarity reaches the threshold is below the tolerance. What is left is verified on the full shingle sets. A pair meets in
+at the threshold shares a band with a probability of all but 1e-6. Pairs' MinHash values are compared 32 at a time and a pair goes as soon as the posterior probability
+(uniform prior) that its similarity reaches the threshold is below the tolerance. What is left is verified on the full shingle sets.
+
+Sets that share a band are neighbours in a candidate graph. A component of it that fits one block (BLOCK sets) is compared within it. Boilerplate can chain sets that have little
+in common into large components, so these are refined first: each set is compared with the first of its bands, then, in bands whose sets aren't yet connected, sets of different
+parts are compared band by band, in blocks, on MinHash values alone. Only pairs that survive the pruning connect, so what stays together are groups of near copies, and just these
+are compared all with all, as each one's number of links is asked for.
+
+A component's sets are cut into blocks, and each pair of blocks is one task's work. A pair meets in
 exactly one pair of blocks, so links are counted without ever being written out, and each block emits at most one row a set.
 
 Edge cases: null or empty texts (and texts without a word) have no shingles: they link to nothing and are a class of their
@@ -128,12 +133,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in ("rid", "comp", "members", "mult", "sig")), sets], names=["rid", "comp", "members", "mult", "sig", "shingles"])
 
 
-def surviving_pairs(sig_x: np.ndarray, sig_y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray, same: bool, needed: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs that the posterior bound and the size bound leave, after all steps of the incremental comparison."""
+def surviving_pairs(sig_x: np.ndarray, sig_y: np.ndarray, n_x: np.ndarray, n_y: np.ndarray, same: bool, needed: dict[int, int], among: np.ndarray | bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (``among`` those) that the posterior bound and the size bound leave, after all steps of the incremental comparison."""
     match = np.zeros((len(sig_x), len(sig_y)), np.uint8)
     for k in range(STEP):
         match += sig_x[:, k, None] == sig_y[None, :, k]
-    ok = match >= needed[STEP]
+    ok = (match >= needed[STEP]) & among
     ok &= 5 * np.minimum(n_x[:, None], n_y[None, :]) >= 4 * np.maximum(n_x[:, None], n_y[None, :])
     i, j = np.nonzero(np.triu(ok, 1) if same else ok)
     total = match[i, j].astype(np.int32)
@@ -199,51 +204,109 @@ def block_links(sig: np.ndarray, sets: list[np.ndarray], mult: np.ndarray, side:
     return links, root
 
 
+def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Rows that are sorted by ``keys``, a table for each run of equal ones."""
+    held, key = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(c).to_numpy() for c in keys])
+        cuts = [0, *(np.flatnonzero((values[:, 1:] != values[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            now = tuple(values[:, a].tolist())
+            if now != key and held:
+                yield key, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            key = now
+    if held:
+        yield key, pa.Table.from_batches(held)
+
+
+def _signatures(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, HASHES)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (comp, i, j); one run of equal keys is a pair of blocks."""
     needed = needed_matches()
     names = ["rid", "links", "root", "whole"]
     out: list[list[np.ndarray]] = []
 
-    def flush(held: list[pa.RecordBatch], key: tuple) -> None:
-        t = pa.Table.from_batches(held)
+    def ready() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[c] for o in out])) for c in range(4)], names=names)
+        out.clear()
+        return batch
+
+    for key, t in _runs(batches, ("comp", "i", "j")):
         rid = t["rid"].to_numpy()
         order = np.argsort(rid)
         rid = rid[order]
-        sig = np.frombuffer(b"".join(t["sig"].to_pylist()), np.uint8).reshape(-1, HASHES)[order]
         sets = [np.frombuffer(s, np.uint64) for s in t["shingles"].to_pylist()]
         sets = [sets[o] for o in order.tolist()]
         side = (t["block"].to_numpy()[order] != key[1]).astype(np.int8)
-        links, root = block_links(sig, sets, t["mult"].to_numpy()[order], side, key[1] == key[2], needed)
+        links, root = block_links(_signatures(t)[order], sets, t["mult"].to_numpy()[order], side, key[1] == key[2], needed)
         at = np.flatnonzero(links)
         out.append([rid[at], links[at], rid[root[at]], np.full(len(at), t["blocks"][0].as_py() == 1)])
-
-    def ready() -> pa.RecordBatch:
-        batch = pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[c] for o in out])) for c in range(4)], names=names)
-        out.clear()
-        return batch
-
-    held, key = [], None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(c).to_numpy() for c in ("comp", "i", "j")])
-        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            now = tuple(keys[:, a].tolist())
-            if now != key and held:
-                flush(held, key)
-                held = []
-            held.append(batch.slice(a, b - a))
-            key = now
         if sum(len(o[0]) for o in out) > 20_000:
             yield ready()
-    if held:
-        flush(held, key)
     if out:
         yield ready()
 
 
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) with both ends' values and sizes: those that survive the pruning."""
+    needed = needed_matches()
+    for batch in batches:
+        for low in range(0, batch.num_rows, 20_000):
+            part = batch.slice(low, 20_000)
+            x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in ("sig", "hub_sig"))
+            n, m = part.column("n").to_numpy(), part.column("hub_n").to_numpy()
+            keep = 5 * np.minimum(n, m).astype(np.int64) >= 4 * np.maximum(n, m).astype(np.int64)
+            total = np.zeros(len(x), np.int64)
+            for c in range(0, HASHES, STEP):
+                at = np.flatnonzero(keep)
+                total[at] += (x[at, c : c + STEP] == y[at, c : c + STEP]).sum(1)
+                keep &= total >= needed[c + STEP]
+            yield pa.RecordBatch.from_arrays([part.column(c).take(pa.array(np.flatnonzero(keep))) for c in ("u", "v")], names=["u", "v"])
+
+
+def _bridges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (band, i, j); of each run, a forest of the surviving pairs between different parts."""
+    needed = needed_matches()
+    for key, t in _runs(batches, ("band", "i", "j")):
+        sig, rid, n, part = _signatures(t), t["rid"].to_numpy(), t["n"].to_numpy(), t["part"].to_numpy()
+        side = t["block"].to_numpy() != key[1]
+        same = key[1] == key[2]
+        x, y = (np.arange(len(rid)),) * 2 if same else (np.flatnonzero(~side), np.flatnonzero(side))
+        i, j = surviving_pairs(sig[x], sig[y], n[x], n[y], same, needed, part[x][:, None] != part[y][None, :])
+        # one edge for each pair of parts is enough
+        _, first = np.unique(np.stack([part[x[i]], part[y[j]]]), axis=1, return_index=True)
+        yield pa.RecordBatch.from_arrays([pa.array(rid[x[i[first]]]), pa.array(rid[y[j[first]]])], names=["u", "v"])
+
+
+def refined(keyed: DataFrame, sets: DataFrame, large: DataFrame) -> DataFrame:
+    """(u, root) of the sets in ``large(u, comp)``, connected by surviving pairs only; sets without one are left out.
+
+    ``keyed(rid, band)`` has all bands that several sets share, ``sets(rid, n, sig)`` the values."""
+    mine = written(keyed.join(large.select(F.col("u").alias("rid")), "rid", "left_semi"), "large-bands")
+    about = sets.join(large.select(F.col("u").alias("rid")), "rid", "left_semi").select("rid", "n", "sig")
+    about = written(about, "large-sets")
+    hubs = mine.groupBy("band").agg(F.min("rid").alias("v"))
+    first = mine.join(hubs, "band").where("rid <> v").select(F.col("rid").alias("u"), "v").distinct()
+    hub = about.select(F.col("rid").alias("v"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"))
+    near = written(first.join(about.withColumnRenamed("rid", "u"), "u").join(hub, "v").mapInArrow(_near, "u long, v long"), "hub-edges")
+    parts = components(near)
+    parted = mine.join(parts.select(F.col("u").alias("rid"), "root"), "rid", "left").select("rid", "band", F.coalesce("root", "rid").alias("part"))
+    parted = written(parted, "parted")
+    open_ = parted.groupBy("band").agg(F.count("*").alias("size"), F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("band", "size")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = parted.join(open_, "band").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spread = rows.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "part").join(about, "rid")
+    more = spread.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_bridges, "u long, v long")
+    return components(near.unionByName(more))
+
+
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: (doc_id, content_id, rid, root, class_id, n_links).
 
@@ -254,15 +317,21 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(text_col)).alias("cid"), F.col(text_col).cast("string").alias("text"))
     kind = base.schema["doc_id"].dataType.simpleString()
     rows = written(base.mapInArrow(_sketch, f"rid long, doc_id {kind}, cid long, set_a long, set_b long, n int, bands array<long>, sig binary"), "sketches")
-    first = F.min(F.struct("rid", "cid", "bands", "sig")).alias("f")
+    first = F.min(F.struct("rid", "cid", "n", "bands", "sig")).alias("f")
     sets = written(
         rows.where("n > 0").groupBy("set_a", "set_b").agg(F.count("*").alias("mult"), F.min("doc_id").alias("least"), first).select("set_a", "set_b", "mult", "least", "f.*"),
         "sets",
     )
     keyed = sets.select("rid", F.explode("bands").alias("band"))
     crowded = keyed.groupBy("band").agg(F.min("rid").alias("hub"), F.max("rid").alias("last")).where("hub < last").select("band", "hub")
-    members = components(keyed.join(crowded, "band").where("rid <> hub").select(F.col("rid").alias("u"), F.col("hub").alias("v"))).withColumnRenamed("root", "comp")
-    members = written(members.join(members.groupBy("comp").agg(F.count("*").alias("members")), "comp").join(sets.select(F.col("rid").alias("u"), "cid", "set_a", "mult", "sig"), "u").withColumnRenamed("u", "rid"), "members")
+    found = components(keyed.join(crowded, "band").where("rid <> hub").select(F.col("rid").alias("u"), F.col("hub").alias("v"))).withColumnRenamed("root", "comp")
+    sizes = written(found.groupBy("comp").agg(F.count("*").alias("members")), "component-sizes")
+    if sizes.where(F.col("members") > BLOCK).count():
+        large = written(found.join(sizes.where(F.col("members") > BLOCK), "comp").select("u", "comp"), "large-components")
+        split = refined(keyed.join(crowded.select("band"), "band", "left_semi"), sets, large).withColumnRenamed("root", "comp")
+        found = written(found.join(sizes.where(F.col("members") <= BLOCK), "comp").select("u", "comp").unionByName(split.select("u", "comp")), "refined")
+        sizes = written(found.groupBy("comp").agg(F.count("*").alias("members")), "component-sizes")
+    members = written(found.join(sizes, "comp").join(sets.select(F.col("rid").alias("u"), "cid", "set_a", "mult", "sig"), "u").withColumnRenamed("u", "rid"), "members")
 
     wanted = members.select("cid", "rid")
     if members.count() <= BROADCAST_ROWS:
@@ -285,7 +354,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     root = found.where("whole").select("rid", "root").unionByName(split)
     links = found.groupBy("rid").agg(F.sum("links").alias("links"))
     rooted = sets.select("rid", "set_a", "set_b", "mult", "least").join(root, "rid", "left").join(links, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("class_id")), "root")
+    # small tables are written before they meet rows of their key: the join then has a shuffle on either side, which Spark can split at a hot root
+    rooted = written(rooted, "rooted")
+    named = rooted.join(written(rooted.groupBy("root").agg(F.min("least").alias("class_id")), "class-ids"), "root")
     classes = named.select("set_a", "set_b", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"))
     joined = rows.where("n > 0").select("rid", "doc_id", "cid", "set_a", "set_b").join(classes, ["set_a", "set_b"])
     alone = rows.where("n = 0").select("rid", "doc_id", "cid", F.col("rid").alias("root"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
@@ -296,7 +367,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``docs`` with one document of each class: the one with the smallest id (null last; of repeated rows one). All columns stay."""
     found = written(jaccard_classes(docs, id_col, text_col), "classes")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).getField("rid").alias("kept")
-    groups = found.groupBy("root").agg(best, F.count("*").alias("rows")).where("rows > 1").select("root", "kept")
+    groups = written(found.groupBy("root").agg(best, F.count("*").alias("rows")).where("rows > 1").select("root", "kept"), "groups")
     keys = found.join(groups, "root").groupBy(F.col("doc_id").alias("__id"), F.col("content_id").alias("__content"))
     # rows with equal id and text are one key: it goes if none of its rows is kept, and stays once if one of several is
     gone = written(keys.agg(F.max((F.col("rid") == F.col("kept")).cast("int")).alias("kept"), F.count("*").alias("rows")).where("kept = 0 or rows > 1"), "gone")

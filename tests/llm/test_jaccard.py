@@ -49,6 +49,25 @@ def test_brute_force(spark, monkeypatch):
     assert kept == {c for c, _ in expected.values()}
 
 
+def test_chain_of_boilerplate(spark, monkeypatch):
+    """Sets that share boilerplate chain into one large candidate component; refining leaves the near copies, with the same links."""
+    rng = random.Random(8)
+    rows, shared = [], [f"p{k}" for k in range(120)]
+    for d in range(40):
+        own = [f"o{d}_{k}" for k in range(100)]
+        for copy in range(3):
+            words = [*shared, *own]
+            if copy:
+                words[rng.randrange(len(words))] = f"x{rng.random()}"
+            rows.append((len(rows), " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(jj, "BLOCK", 8)
+    sizes, components = [], jj.components
+    monkeypatch.setattr(jj, "components", lambda edges: (lambda out: sizes.append(out.groupBy("root").count().agg({"count": "max"}).first()[0]) or out)(components(edges)))
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jj.jaccard_classes(df).collect()} == brute(rows)
+    assert sizes[0] > 24 and sizes[2] == 3  # of the candidates, and of what survives
+
+
 def test_dense_and_sparse_overlaps_agree():
     import numpy as np
 
