@@ -45,23 +45,38 @@ def test_search_and_brute_force(spark, monkeypatch):
     found = sum(got[20 * i]["match_id"] == 20 * i + 1 and abs(got[20 * i]["offset"] - 12) <= 1 for i in range(1, 40))
     assert found >= 0.9 * 39
     rows = {r["id"]: np.frombuffer(r["print"], np.uint32) for r in prints.where("id is not null").collect()}
-    for q in (20, 400):  # the least bit error over all rows and offsets with votes enough
-        best = []
-        for i, v in rows.items():
-            if i == q or not len(v):
-                continue
-            votes = {}
-            for a, x in enumerate(rows[q]):
-                for b in np.flatnonzero(v == x):
-                    votes[b - a] = votes.get(b - a, 0) + 1
-            shared = lambda o: min(len(rows[q]), len(v) - o) - max(0, -o)  # noqa: E731, B023
-            votes = {o: n for o, n in votes.items() if shared(o) >= min(chroma.MIN_OVERLAP, len(rows[q]), len(v))}
-            if votes and max(votes.values()) >= chroma.MIN_VOTES:
-                off = min(votes, key=lambda o: (-votes[o], abs(o), o))
-                pairs = [(rows[q][a], v[a + off]) for a in range(len(rows[q])) if 0 <= a + off < len(v)]
-                best.append((round(sum(int(x ^ y).bit_count() for x, y in pairs) / (32 * len(pairs)), 9), -len(pairs), -votes[off], i, off))
-        top = min(best)
-        assert (got[q]["ber"], got[q]["match_id"], got[q]["offset"]) == (top[0], top[3], top[4])
+    pairs = {(r["query_id"], r["match_id"]): r for r in chroma.related(prints, F.col("id") % 20 == 0).where("relation = 'alignment'").collect()}
+    for q in range(20, 200, 20):  # the least bit error of every row over all offsets
+        errors = {i: least_error(rows[q], v) for i, v in rows.items() if i != q and len(v)}
+        near = {i for i, e in errors.items() if e <= chroma.MAX_BIT_ERROR}
+        assert near == {m for a, m in pairs if a == q} and near
+        assert all(abs(pairs[q, i]["ber"] - errors[i]) < 1e-8 for i in near)
+        assert (errors[got[q]["match_id"]], got[q]["matched"]) == (min(errors.values()), True)
+
+
+def least_error(a, b):
+    shares = []
+    for offset in range(-len(a), len(b)):
+        low, high = max(0, -offset), min(len(a), len(b) - offset)
+        if high - low >= min(chroma.MIN_OVERLAP, len(a), len(b)):
+            shares.append(int(np.bitwise_count(a[low:high] ^ b[low + offset : high + offset]).sum()) / (32 * (high - low)))
+    return min(shares)
+
+
+def test_recall_on_the_table(spark):
+    """Recordings of the table's own vectors, and noisy copies of them, against the brute force over all rows and offsets: at least 0.9 of the pairs under the cut, and nothing else."""
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").orderBy("vec_id").limit(200).collect()
+    rng = np.random.default_rng(11)
+    clean = [chroma.samples(chroma.melody(list(r["embedding"])))[0] for r in vectors]
+    rows = [chroma.fingerprint(x, chroma.RATE) for x in clean]
+    right = found = wrong = 0
+    for noise in (0.05, 0.2, 0.3, 0.4):
+        queries = [chroma.fingerprint(x + rng.normal(0, noise, len(x)), chroma.RATE) for x in clean[::20]]
+        q, r, _, _, errors, overlap = chroma.aligned(queries, rows)
+        got = {(a, b) for a, b, e, n in zip(q.tolist(), r.tolist(), errors.tolist(), overlap.tolist(), strict=True) if e <= chroma.MAX_BIT_ERROR * 32 * n}
+        truth = {(a, b) for a, x in enumerate(queries) for b, y in enumerate(rows) if least_error(x, y) <= chroma.MAX_BIT_ERROR}
+        right, found, wrong = right + len(truth), found + len(truth & got), wrong + len(got - truth)
+    assert right >= 20 and found >= 0.9 * right and wrong == 0
 
 
 def test_all_alignments_and_members(spark, monkeypatch):
