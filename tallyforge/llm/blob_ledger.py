@@ -1,11 +1,11 @@
 """Secret scans by an incremental blob ledger, in DataFrame functions only.
 
 Every version of every path is content-addressed by SHA-256. The ledger has one row for each blob and run, with the rule
-versions applied and their findings. A scan reads only blobs that lack a current rule version, applies only the
+versions applied and their findings. A scan holds addresses against the ledger first, fetches only blobs that lack a current rule version, applies only the
 rules they lack, appends to the ledger, and findings are joined back to all paths by address. Equal contents are scanned once however
 many paths and versions hold them; a changed rule gets a new version and so rescans everything for that rule alone.
 
-The position of a match is found from the pieces between matches: their lengths and those of the matches before it add up.
+The position of a match is found from the pieces between matches: their lengths and those of the matches before it add up, in one pass over the matches.
 
 Edge cases: a null content counts as empty; empty blobs have no findings; contents of any length are scanned whole; null paths and
 repeated rows are kept, a row each; empty tables give an empty result. Other columns are never read.
@@ -18,7 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.storage import new_path
+from tallyforge.llm.arrays import bound, sums_before
+from tallyforge.llm.storage import new_path, written
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,9 @@ MORE_RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 36),
 )
 
+#: Most addresses (about 100 bytes each) that are broadcast to pick blobs; beyond it the same join shuffles.
+BROADCAST_ROWS = 500_000
+
 FINDING = "array<struct<start:int,rank:int,kind:string,end:int,rule:string>>"
 
 
@@ -57,15 +61,18 @@ def matches(text: Column, rule: Rule, rank: int) -> Column:
     whole, pieces = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.split(text, rule.pattern, -1)
     group = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)) if rule.group else whole
 
-    def step(acc: Column, m: Column) -> Column:
-        start = acc["at"] + F.length(m["before"])
-        end = start + F.length(m["whole"])
-        hit = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), end.alias("end"), F.lit(rule.name).alias("rule")))
-        keep = F.length(m["group"]) >= rule.least
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.when(keep, hit).otherwise(F.array().cast(FINDING))).alias("out"))
-
     zipped = F.arrays_zip(F.slice(pieces, 1, F.size(whole)).alias("before"), whole.alias("whole"), group.alias("group"))
-    return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), F.array().cast(FINDING).alias("out")), step, lambda acc: acc["out"])
+    lengths = F.transform(zipped, lambda m: F.struct(F.length(m["before"]).alias("before"), F.length(m["whole"]).alias("whole"), F.length(m["group"]).alias("group")))
+
+    def found(ms: Column) -> Column:
+        def finding(m: Column, at: Column) -> Column:
+            start = at + m["before"]
+            hit = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(rule.kind).alias("kind"), (start + m["whole"]).alias("end"), F.lit(rule.name).alias("rule"))
+            return F.when(m["group"] >= rule.least, hit)
+
+        return F.array_compact(F.zip_with(ms, sums_before(F.transform(ms, lambda m: m["before"] + m["whole"])), finding))
+
+    return bound(lengths, found)
 
 
 def _findings(text: Column, rules: tuple[Rule, ...], missing: Column) -> Column:
@@ -83,12 +90,15 @@ def addressed(versions: DataFrame, content_col: str) -> DataFrame:
 def extend_ledger(versions: DataFrame, ledger: DataFrame | None, ledger_path: str, content_col: str = "text", rules: tuple[Rule, ...] = RULES + MORE_RULES) -> DataFrame:
     """Scan the blob and rule-version pairs that ``ledger`` lacks, append them to ``ledger_path`` and return the new rows (sha, rules, findings)."""
     names = F.array(*(F.lit(r.name) for r in rules))
-    blobs = addressed(versions.select(content_col), content_col).groupBy("sha").agg(F.first("blob").alias("blob"))
+    contents = addressed(versions.select(content_col), content_col)
     if ledger is None:
-        lacking = blobs.withColumn("missing", names)
+        lacking = contents.groupBy("sha").agg(F.first("blob").alias("blob")).withColumn("missing", names)
     else:
         seen = ledger.groupBy("sha").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))  # a row for each run that added a rule
-        lacking = blobs.join(seen, "sha", "left").withColumn("missing", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))).where(F.size("missing") > 0)
+        missing = F.array_except(names, F.coalesce("seen", F.array().cast("array<string>")))
+        wanted = written(contents.select("sha").distinct().join(seen, "sha", "left").select("sha", missing.alias("missing")).where(F.size("missing") > 0), "lacking")
+        side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+        lacking = contents.select("sha", "blob").join(side, "sha").groupBy("sha").agg(F.first("blob").alias("blob"), F.first("missing").alias("missing"))
     fresh = lacking.select("sha", F.col("missing").alias("rules"), _findings(F.col("blob"), rules, F.col("missing")).alias("findings"))
     run = f"{ledger_path}/run-{new_path(versions.sparkSession, 'x').rpartition('-')[2]}"
     fresh.write.parquet(run)

@@ -20,6 +20,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyforge.llm.arrays import bound, sums_before
+
 TURNS = "array<struct<role:string,text:string>>"
 ASSISTANT = "assistant"
 #: Fixed strings: what opens our marks, and control strings of other templates.
@@ -106,17 +108,15 @@ def formatted(turned: DataFrame, turns_col: str = "turns") -> DataFrame:
     """Adds ``formatted`` and ``loss`` (array of [start, end) in code points) to rows that have turns."""
     parts = F.transform(turns_col, lambda t: F.struct(F.concat(F.lit("<|"), escaped(t["role"], ("|>",)), F.lit("|>")).alias("head"), escaped(t["text"]).alias("body"), (t["role"] == ASSISTANT).alias("learned")))
     tail = "<|end|>\n"
+    sizes = F.transform("__parts", lambda p: F.length(p["head"]) + F.length(p["body"]) + len(tail))
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + F.length(p["head"])
-        end = start + F.length(p["body"])
-        span = F.when(p["learned"], F.array(F.struct(start.alias("start"), end.alias("end")))).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
-        return F.struct((end + len(tail)).alias("at"), F.concat(acc["spans"], span).alias("spans"))
+    def span(p: Column, at: Column) -> Column:
+        start = at + F.length(p["head"])
+        return F.when(p["learned"], F.struct(start.alias("start"), (start + F.length(p["body"])).alias("end")))
 
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
     out = turned.withColumn("__parts", parts)
     out = out.withColumn("formatted", F.array_join(F.transform("__parts", lambda p: F.concat(p["head"], p["body"], F.lit(tail))), ""))
-    return out.withColumn("loss", F.aggregate("__parts", begin, step, lambda acc: acc["spans"])).drop("__parts")
+    return out.withColumn("loss", F.array_compact(F.zip_with("__parts", sums_before(sizes), span))).drop("__parts")
 
 
 def read_back(text: Column) -> Column:
@@ -128,8 +128,22 @@ def read_back(text: Column) -> Column:
 
 
 def loss_text(text: Column, loss: Column) -> Column:
-    """All text under the loss mask, unescaped."""
-    return F.array_join(F.transform(loss, lambda s: unescaped(F.substring(text, s["start"] + 1, s["end"] - s["start"]))), "")
+    """All text under the loss mask, unescaped. Where the mask covers just the assistant's texts, as ours does, they are taken from the pieces between marks; any other mask is cut out range by range."""
+
+    def bodies(pieces: Column) -> Column:
+        def body(p: Column, at: Column) -> Column:
+            end = F.instr(p, "|>")
+            return F.struct((at + end + 1).alias("start"), (at + F.length(p)).alias("end"), F.substring(p, F.lit(1), end - 1).alias("role"), F.substring(p, end + 2, F.length(p)).alias("text"))
+
+        every = F.zip_with(pieces, sums_before(F.transform(pieces, lambda p: F.length(p) + 2)), body)
+        return F.filter(every, lambda b, i: (i % 2 == 1) & (unescaped(b["role"]) == ASSISTANT))
+
+    def learned(own: Column) -> Column:
+        cut = F.transform(loss, lambda s: unescaped(F.substring(text, s["start"] + 1, s["end"] - s["start"])))
+        same = F.transform(own, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))) == loss
+        return F.array_join(F.when(same, F.transform(own, lambda b: unescaped(b["text"]))).otherwise(cut), "")
+
+    return bound(bound(F.split(text, r"<\|", -1), bodies), learned)
 
 
 def message_records(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:

@@ -48,3 +48,22 @@ def test_layouts(spark, as_variant):
 def test_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string, payload string, back string")
     assert chat.digests(chat.formatted(chat.canonical(chat.message_records(df), "payload"))).count() == 0
+
+
+def test_long_conversations(spark):
+    """Thousands of turns, and a turn of a million characters, come back whole; clashing columns and nulls are no trouble."""
+    rows = [(1, i, "assistant" if i % 2 else "user", f"text {i} <| \\ é") for i in range(5001)] + [(2, 0, "user", "x" * 1_000_000), (2, 1, "assistant", "[INST]" * 100_000), (3, None, None, None)]
+    df = spark.createDataFrame([(*r, "f", "l", "p") for r in rows], "conv_id long, turn long, role string, text string, formatted string, loss string, payload string")
+    got = {r["conv_id"]: r for r in chat.digests(chat.formatted(chat.canonical(chat.message_records(df), "payload"))).collect()}
+    for conv in (1, 2):
+        said = "".join(t for c, _, role, t in rows if c == conv and role == "assistant")
+        turns = "".join(f"{role}\n{t}\n" for c, _, role, t in rows if c == conv)
+        assert (got[conv]["loss_chars"], got[conv]["loss_sha256"]) == (len(said), hashlib.sha256(said.encode()).hexdigest())
+        assert got[conv]["turns_sha256"] == hashlib.sha256(turns.encode()).hexdigest()
+    assert got[3]["n_turns"] == 1 and got[3]["loss_chars"] == 0
+
+
+def test_masks_of_other_ranges(spark):
+    """A mask that covers other ranges than the assistant's texts is cut out as it stands."""
+    df = spark.createDataFrame([("<|assistant|>abc<|end|>\n<|user|>def<|end|>\n", [(13, 14)]), ("<|assistant|>abc<|end|>\n", [(13, 16)])], "t string, m array<struct<start:int,end:int>>")
+    assert [r[0] for r in df.select(chat.loss_text(df["t"], df["m"])).collect()] == ["a", "abc"]

@@ -49,3 +49,11 @@ def test_edges(spark, tmp_path, odd_docs, no_docs):
     for name, df in (("odd", odd_docs), ("none", no_docs)):
         df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
         assert op3_secret_ledger(spark, f"{tmp_path}/{name}").count() == df.count()
+
+
+def test_many_matches_in_one_text(spark):
+    """Positions in a text of very many matches, in time that follows their number."""
+    text = "é password=abcdef1 " * 20_000
+    df = spark.createDataFrame([(1, text)], "path long, text string")
+    found = bl.by_path(df, bl.extend_ledger(df, None, bl.new_path(spark, "ledger")), "path").first()["findings"]
+    assert [(f["start"], f["end"]) for f in found] == [(2 + 19 * i, 18 + 19 * i) for i in range(20_000)]
