@@ -45,11 +45,11 @@ def report(doc="acme"):
     r = Report(doc)
     r.line(1, 100, *label(100, "İÇİNDEKİLER"))
     r.line(1, 200, *label(100, "NOT 3 NAKİT ....... 4"))
-    r.line(1, 250, *label(100, "NOT 11 YATIRIM AMAÇLI"))
-    r.line(1, 300, *label(100, "GAYRİMENKULLER ....... 6-6"))
+    r.line(1, 250, *label(100, "NOT 11 DEPO VE AMBAR"))
+    r.line(1, 300, *label(100, "BİNALARI ....... 6-6"))
     statement(r, 2, "BİLANÇO", [
         (100, "DÖNEN VARLIKLAR", "", "60.000", "30.000"), (130, "Nakit", "3", "20.000", "10.000"), (130, "Alacak", "4", "40.000", "20.000"),
-        (100, "DURAN VARLIKLAR", "", "500.000", "400.000"), (130, "Yatırım amaçlı", "1l", "500.000", "400.000"), (100, "TOPLAM", "", "560.000", "430.000"),
+        (100, "DURAN VARLIKLAR", "", "500.000", "400.000"), (130, "Depo binaları", "1l", "500.000", "400.000"), (100, "TOPLAM", "", "560.000", "430.000"),
     ])
     statement(r, 3, "BİLANÇO", [
         (100, "KISA VADELİ", "", "160.000", "130.000"), (130, "Uzun adı olan borçlar ve", "", "", ""), (160, "diğerleri", "5", "100.000", "80.000"), (130, "Diğer", "6", "60.000", "50.000"),
@@ -58,7 +58,7 @@ def report(doc="acme"):
     for page in (4, 5):
         r.line(page, 100, *label(100, "Metin sayfası"))
         r.line(page, 900, (500, 520, str(page - 1)))
-    r.line(7, 100, *label(100, "11. YATIRIM AMAÇLI GAYRİMENKULLER"))
+    r.line(7, 100, *label(100, "11. DEPO VE AMBAR BİNALARI"))
     r.line(7, 150, *label(100, "Hareketler aşağıdadır"))
     r.line(7, 200, (1150, 1200, "Arsa"), (1350, 1400, "Bina"), (1520, 1600, "Toplam"))
     for i, (text, *values) in enumerate([("1 Ocak 2012 açılış", "300.000", "100.000", "400.000"), ("Alımlar", "50.000", "50.000", "100.000"), ("31 Aralık 2012 kapanış", "350.000", "150.000", "500.000")]):

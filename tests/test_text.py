@@ -80,16 +80,16 @@ def test_currency(spark):
 
 
 def test_headings_and_contents(spark):
-    h = one(spark, "1l. YATIRIM AMAÇLI (devamı)", text.heading)
-    assert (h["note_no"], h["title"], h["continued"]) == (11, "YATIRIM AMAÇLI", True)
-    assert one(spark, "11. Yatırım amaçlı", text.heading) is None
+    h = one(spark, "1l. DEPO BİNALARI (devamı)", text.heading)
+    assert (h["note_no"], h["title"], h["continued"]) == (11, "DEPO BİNALARI", True)
+    assert one(spark, "11. Depo binaları", text.heading) is None
     t = one(spark, "NOT 7  STOKLAR ....... 31-32", text.toc_entry)
     assert tuple(t) == (7, "STOKLAR", 31, 32)
     assert tuple(one(spark, "NOT 8 DİĞER 33", text.toc_entry))[2:] == (33, 33)
 
 
 def test_similarity(spark):
-    r = spark.createDataFrame([("YATIRIM AMAÇLI", "Yatırım amaçlı"), ("ABC", "XYZ")], "a string, b string").select(text.title_similarity("a", "b").alias("r")).collect()
+    r = spark.createDataFrame([("DEPO BİNALARI", "Depo binaları"), ("ABC", "XYZ")], "a string, b string").select(text.title_similarity("a", "b").alias("r")).collect()
     assert r[0]["r"] == 1.0 and r[1]["r"] == 0.0
 
 
