@@ -10,6 +10,8 @@ from tallyforge.operators import hierarchy, matching
 from tallyforge.plans.statements import Statements
 from tallyforge.sources.staging import staged
 
+#: Levels of a forest beyond which it's taken to have a cycle.
+MAX_DEPTH = 500
 CHECK = "doc string, group string, check string, passed boolean, detail string, items array<string>"
 
 
@@ -28,13 +30,22 @@ def note_sums(rows: DataFrame, values: DataFrame) -> DataFrame:
 
 
 def subtree_sizes(edges: DataFrame) -> DataFrame:
-    """``edges(doc, parent, child)`` of a forest to (doc, node, size): the node and all below it, by recursion in SQL."""
-    edges.createOrReplaceTempView("__edges")
-    return edges.sparkSession.sql("""
-        WITH RECURSIVE below(doc, node, member) AS (
-          SELECT DISTINCT doc, node, node FROM (SELECT doc, parent AS node FROM __edges UNION ALL SELECT doc, child FROM __edges)
-          UNION ALL SELECT b.doc, b.node, e.child FROM below b JOIN __edges e ON e.doc = b.doc AND e.parent = b.member)
-        SELECT doc, node, count(*) AS size FROM below GROUP BY doc, node""")
+    """``edges(doc, parent, child)`` of a forest to (doc, node, size): the node and all below it.
+
+    Each round counts, for every node, the nodes one level further down, as a sum over its children; there are as many rounds as the forest is deep, and no tree is brought together.
+    """
+    edges = staged(edges.select("doc", "parent", "child"), "edges")
+    down = edges.select("doc", F.col("parent").alias("node")).unionByName(edges.select("doc", F.col("child").alias("node"))).distinct().withColumn("n", F.lit(1).cast("long"))
+    levels = [staged(down, "level")]
+    while not levels[-1].isEmpty():
+        if len(levels) > MAX_DEPTH:
+            raise ValueError(f"the forest is deeper than {MAX_DEPTH}, or has a cycle")
+        below = levels[-1].withColumnRenamed("node", "child").join(edges, ["doc", "child"]).groupBy("doc", F.col("parent").alias("node")).agg(F.sum("n").alias("n"))
+        levels.append(staged(below, "level"))
+    every = levels[0]
+    for level in levels[1:]:
+        every = every.unionByName(level)
+    return every.groupBy("doc", "node").agg(F.sum("n").alias("size"))
 
 
 def balance_identity(st: Statements) -> DataFrame:

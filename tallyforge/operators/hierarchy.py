@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,14 +95,12 @@ class Solver:
 
     def _prefix(self, t: int, order: range) -> list[int] | None:
         """The shortest run of two or more free rows, nearest first, that adds up to row t."""
-        taken: list[int] = []
-        for i in order:
-            if self.vectors[i] is None or self.rows[i].parent is not None or self.rows[i].label == "":
-                continue
+        free = (i for i in order if self.vectors[i] is not None and self.rows[i].parent is None and self.rows[i].label != "")
+        taken, running = [], [0.0] * len(self.vectors[t])
+        for i in islice(free, fixed.PREFIX_BOUND):
             taken.append(i)
-            if len(taken) > fixed.PREFIX_BOUND:
-                return None
-            if len(taken) > 1 and self._equal(t, self._sum(taken)):
+            running = [a + b for a, b in zip(running, self.vectors[i], strict=True)]
+            if len(taken) > 1 and self._equal(t, running):
                 return sorted(taken)
         return None
 

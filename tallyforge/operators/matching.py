@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions import fixed, scoring
+from tallyforge.sources.tokens import cache_key
 
 KEY = ["doc", "item_id", "note_row"]
 
@@ -83,24 +84,26 @@ def score(cands: DataFrame, title: Column, encode: Callable[[pd.Series], pd.Seri
 
 
 def fit_threshold(scored: DataFrame, gold: DataFrame, default: float = fixed.LINK_THRESHOLD) -> DataFrame:
-    """One row (threshold, source): the lowest midpoint between neighbouring distinct scores with the best F1 on the direct gold links.
+    """(doc, threshold, source), one row a document: the lowest midpoint between neighbouring distinct scores with the best F1 on the document's direct gold links, or the default if it has none.
 
-    Counts are aggregated by distinct score first, so the ordered part has one row a score.
+    Counts are aggregated by distinct score first, so the ordered part has one row a score (of four decimals).
     """
-    direct = gold.where("relation <> 'breakdown_component'").select("item_id", "note_row").distinct()
-    marked = scored.select("item_id", "note_row", "score_a").join(direct.withColumn("hit", F.lit(1)), ["item_id", "note_row"], "left")
-    by = marked.groupBy("score_a").agg(F.count("*").alias("n"), F.count("hit").alias("tp"))
-    down = Window.orderBy(F.desc("score_a")).rowsBetween(Window.unboundedPreceding, 0)
-    cuts = by.select("score_a", F.lag("score_a").over(Window.orderBy("score_a")).alias("lower"), F.sum("n").over(down).alias("pred"), F.sum("tp").over(down).alias("tp")).where("lower is not null")
-    cuts = cuts.crossJoin(F.broadcast(direct.agg(F.count("*").alias("gold")))).where("gold > 0")
+    direct = gold.where("relation <> 'breakdown_component'").select(*KEY).distinct()
+    marked = scored.select(*KEY, "score_a").join(direct.withColumn("hit", F.lit(1)), KEY, "left")
+    by = marked.groupBy("doc", "score_a").agg(F.count("*").alias("n"), F.count("hit").alias("tp"))
+    w = Window.partitionBy("doc")
+    down = w.orderBy(F.desc("score_a")).rowsBetween(Window.unboundedPreceding, 0)
+    cuts = by.select("doc", "score_a", F.lag("score_a").over(w.orderBy("score_a")).alias("lower"), F.sum("n").over(down).alias("pred"), F.sum("tp").over(down).alias("tp")).where("lower is not null")
+    known = direct.groupBy("doc").agg(F.count("*").alias("gold"))
     f1 = 2 * F.col("tp") / (F.col("pred") + F.col("gold"))
-    best = cuts.select(((F.col("score_a") + F.col("lower")) / 2).alias("t"), f1.alias("f1")).agg(F.min_by("t", F.struct((-F.col("f1")).alias("f"), F.col("t"))).alias("t"))
-    has = direct.agg((F.count("*") > 0).alias("has"))
-    return best.crossJoin(F.broadcast(has)).select(F.when(F.col("has"), F.coalesce(F.round("t", 4), F.lit(default))).otherwise(default).alias("threshold"), F.when(F.col("has"), "control_examples").otherwise("config_default").alias("source"))
+    best = cuts.join(known, "doc").select("doc", ((F.col("score_a") + F.col("lower")) / 2).alias("t"), f1.alias("f1")).groupBy("doc").agg(F.min_by("t", F.struct((-F.col("f1")).alias("f"), F.col("t"))).alias("t"))
+    out = scored.select("doc").distinct().join(known, "doc", "left").join(best, "doc", "left")
+    has = F.col("gold").isNotNull()
+    return out.select("doc", F.when(has, F.coalesce(F.round("t", 4), F.lit(default))).otherwise(default).alias("threshold"), F.when(has, "control_examples").otherwise("config_default").alias("source"))
 
 
 def direct_links(scored: DataFrame, threshold: DataFrame) -> DataFrame:
-    kept = scored.crossJoin(F.broadcast(threshold.select("threshold"))).where("score_a >= threshold")
+    kept = scored.join(threshold.select("doc", "threshold"), "doc").where("score_a >= threshold")
     relation = scoring.rule_relation(F.col("period_match"), F.col("note_label"), F.col("note_period.source"))
     return kept.select(*KEY, "col", F.col("note_value").alias("value"), relation.alias("relation"), F.col("score_a").alias("score"), F.lit("A").alias("method"))
 
@@ -130,16 +133,29 @@ def top_candidates(scored: DataFrame, k: int = fixed.MAX_CANDIDATES) -> DataFram
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def requests(scored: DataFrame, items: DataFrame, values: DataFrame, model: str, instructions: str, k: int = fixed.MAX_CANDIDATES) -> DataFrame:
+    """What a second opinion is asked, one row an item: (doc, item_id, payload, key). The payload is JSON of the item and its best candidates with all their amounts; the key is the content address of the call."""
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    cell = F.struct("col", "header", "value", day("period.date").alias("date"), F.col("period.year").alias("year"))
+    amounts = values.groupBy("doc", F.col("row_id").alias("note_row")).agg(F.first("label").alias("row_label"), F.array_sort(F.collect_list(cell)).alias("amounts"))
+    rows = top_candidates(scored, k).select(*KEY, "rank").join(amounts, ["doc", "note_row"])
+    listed = rows.groupBy("doc", "item_id").agg(F.array_sort(F.collect_list(F.struct("rank", F.struct(F.col("note_row").alias("row_id"), F.col("row_label").alias("label"), "amounts").alias("r")))).alias("rows"))
+    item = F.struct("item_id", "label", "statement", "value", F.col("period.type").alias("period_type"), day("period.end").alias("period_end"))
+    said = items.select("doc", "item_id", item.alias("item")).join(listed, ["doc", "item_id"])
+    payload = F.to_json(F.struct("item", F.transform("rows", lambda r: r["r"]).alias("candidates")))
+    return said.select("doc", "item_id", payload.alias("payload")).withColumn("key", cache_key(F.lit(model), F.lit(instructions), "payload"))
+
+
 def links_b(scored: DataFrame, decisions: DataFrame, values: DataFrame, fallback: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links, items without an answer). An item without recorded decisions takes method A's links."""
+    """(links, items without an answer). An item of a document without recorded decisions takes method A's links."""
     asked = top_candidates(scored).select(*KEY)
-    d = decisions.where("row_id is not null and relation <> 'unrelated'").withColumnRenamed("row_id", "note_row").join(asked, ["item_id", "note_row"])
+    d = decisions.where("row_id is not null and relation <> 'unrelated'").withColumnRenamed("row_id", "note_row").join(asked, KEY)
     width = values.groupBy("doc", F.col("row_id").alias("note_row")).agg(F.max("col").alias("last_col"))
     d = d.withColumnRenamed("col", "said").join(width, ["doc", "note_row"]).withColumn("col", F.when(F.col("said").between(0, F.col("last_col")), F.col("said")).otherwise(0))
     cell = values.select("doc", F.col("row_id").alias("note_row"), "col", "value")
     found = d.join(cell, ["doc", "note_row", "col"], "left").select(*KEY, "col", "value", "relation", F.round(F.least(F.greatest("confidence", F.lit(0.0)), F.lit(1.0)), 4).alias("score"), F.lit("B").alias("method"), "reason", F.col("ord").alias("seq"))
-    answered = decisions.select("item_id").distinct()
-    silent = asked.select("doc", "item_id").distinct().join(answered, "item_id", "left_anti")
+    answered = decisions.select("doc", "item_id").distinct()
+    silent = asked.select("doc", "item_id").distinct().join(answered, ["doc", "item_id"], "left_anti")
     instead = fallback.join(silent, ["doc", "item_id"], "left_semi").select(*KEY, "col", "value", "relation", "score", F.lit("A_fallback").alias("method"), F.lit(None).cast("string").alias("reason"), "seq")
     return found.unionByName(instead), silent
 
@@ -159,14 +175,24 @@ def compare(a: DataFrame, b: DataFrame, keys: list[str] | None = None) -> DataFr
     return both.withColumn("verdict", verdict)
 
 
-def evaluate(links: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: precision, recall, f1, relation_accuracy, false positives and missed keys; 0 where a denominator is empty."""
+def _against(links: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:
     p = links.groupBy(*keys).agg(F.max("relation").alias("p"))
-    both = p.join(gold.groupBy(*keys).agg(F.max("relation").alias("g")), keys, "full")
+    return p.join(gold.groupBy(*keys).agg(F.max("relation").alias("g")), keys, "full")
+
+
+def errors(links: DataFrame, gold: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """(keys, error): links that aren't gold (false_positive) and gold that isn't linked (missed), a row each."""
+    keys = keys or KEY
+    both = _against(links, gold, keys).where("p is null or g is null")
+    return both.select(*keys, F.when(F.col("g").isNull(), "false_positive").otherwise("missed").alias("error"))
+
+
+def evaluate(links: DataFrame, gold: DataFrame, keys: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
+    """precision, recall, f1, relation_accuracy and the counts n_false and n_missed, one row (or one of each ``by``); 0 where a denominator is empty."""
+    by = by or []
     tp, n_p, n_g = F.count_if(F.col("p").isNotNull() & F.col("g").isNotNull()), F.count("p"), F.count("g")
-    name = F.concat_ws(" -> ", *keys)
-    agg = both.agg(tp.alias("tp"), n_p.alias("n_p"), n_g.alias("n_g"), F.count_if(F.col("p") == F.col("g")).alias("same"), F.array_sort(F.collect_list(F.when(F.col("g").isNull(), name))).alias("false_positives"), F.array_sort(F.collect_list(F.when(F.col("p").isNull(), name))).alias("missed"))
+    agg = _against(links, gold, keys or KEY).groupBy(*by).agg(tp.alias("tp"), n_p.alias("n_p"), n_g.alias("n_g"), F.count_if(F.col("p") == F.col("g")).alias("same"))
     ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
     precision, recall = ratio("tp", "n_p"), ratio("tp", "n_g")
     f1 = F.when(F.col("tp") > 0, 2 * precision * recall / (precision + recall)).otherwise(0.0)
-    return agg.select(F.round(precision, 3).alias("precision"), F.round(recall, 3).alias("recall"), F.round(f1, 3).alias("f1"), F.round(ratio("same", "tp"), 3).alias("relation_accuracy"), "false_positives", "missed")
+    return agg.select(*by, F.round(precision, 3).alias("precision"), F.round(recall, 3).alias("recall"), F.round(f1, 3).alias("f1"), F.round(ratio("same", "tp"), 3).alias("relation_accuracy"), (F.col("n_p") - F.col("tp")).alias("n_false"), (F.col("n_g") - F.col("tp")).alias("n_missed"))

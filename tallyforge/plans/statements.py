@@ -98,7 +98,7 @@ def build(words: DataFrame, cell_evidence: DataFrame | None = None, rereads: Dat
     schema = f"doc {kinds['doc']}, page int, row_idx int, col_idx int"
     seen = cell_evidence if cell_evidence is not None else spark.createDataFrame([], f"{schema}, state string, conf double")
     again = rereads if rereads is not None else spark.createDataFrame([], f"{schema}, text string, conf double")
-    grid = grid.join(F.broadcast(seen.select(*key, "state", F.col("conf").alias("state_conf"))), key, "left").join(F.broadcast(again.select(*key, F.col("text").alias("again"), F.col("conf").alias("again_conf"))), key, "left")
+    grid = grid.join(seen.select(*key, "state", F.col("conf").alias("state_conf")), key, "left").join(again.select(*key, F.col("text").alias("again"), F.col("conf").alias("again_conf")), key, "left")
     blank, state = F.col("cell_text").isNull(), F.coalesce("state", F.lit("empty"))
     first = text.parse_amount(F.when(blank, F.when(state == "dash", "-").otherwise("")).otherwise(F.col("cell_text")), F.col("decimal_row"))
     second = text.parse_amount("again", F.col("decimal_row"))
