@@ -45,7 +45,7 @@ _LINES = f"""
 l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_ORDER}) AS k FROM lineitem)"""
 _LIKENESS = """
 h AS (SELECT label AS head_label, arg_min(embedding, vec_id) AS head, min(vec_id) AS head_id FROM embeddings GROUP BY label),
-s AS (SELECT vec_id, label, head_label, head_id, round(list_inner_product(embedding::DOUBLE[], head::DOUBLE[]), 4) AS score FROM embeddings, h)"""
+s AS (SELECT vec_id, label, head_label, head_id, round(list_inner_product(embedding::DOUBLE[], head::DOUBLE[]), 4) AS score FROM embeddings JOIN h ON head_label IN (label, label + 1))"""
 _METHODS = """
 a AS (SELECT doc_id, CASE WHEN n_chars > 2500 THEN '1' ELSE '0' END AS ra FROM documents WHERE n_chars > 800),
 b AS (SELECT doc_id, max(quality)::VARCHAR AS rb FROM labels GROUP BY 1),
@@ -129,7 +129,7 @@ ORACLES: dict[str, str] = {
     "fit_threshold": f"""WITH {_LIKENESS}, d AS (SELECT score, count(*) AS n, count(*) FILTER (label = head_label) AS tp FROM s GROUP BY 1),
       c AS (SELECT score, lag(score) OVER (ORDER BY score) AS lower, sum(n) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS pred, sum(tp) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp FROM d), g AS (SELECT sum(tp) AS gold FROM d)
       SELECT round(first((score + lower) / 2 ORDER BY 2.0 * tp / (pred + gold) DESC, score), 4) AS threshold, 'control_examples' AS source FROM c, g WHERE lower IS NOT NULL""",
-    "topk_candidates": "WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY round(o_totalprice / 100000, 0) DESC, o_orderkey) AS rank FROM orders) SELECT * FROM r WHERE rank <= 3",
+    "topk_candidates": "WITH r AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY round(o_totalprice / 100000, 0) DESC, o_orderkey) AS rank FROM orders) SELECT * FROM r WHERE rank <= 30",
     "breakdown_expand": f"""WITH {_LINES}, t AS (SELECT l_orderkey, max(k) AS m FROM l GROUP BY 1 HAVING count(*) >= 2)
       SELECT l.l_orderkey::VARCHAR AS item_id, l.l_orderkey || '_' || lpad(k::VARCHAR, 3, '0') AS note_row, floor(l_extendedprice)::DOUBLE AS value FROM l JOIN t ON l.l_orderkey = t.l_orderkey WHERE l.l_orderkey % 2 = 0""",
     "compare_methods": f"WITH {_METHODS} SELECT CASE WHEN rb IS NULL THEN 'only_a' WHEN ra IS NULL THEN 'only_b' WHEN ra = rb THEN 'both_same_relation' ELSE 'both_different_relation' END AS verdict, count(*) AS n FROM j GROUP BY 1",
@@ -137,7 +137,15 @@ ORACLES: dict[str, str] = {
       SELECT round(tp / p, 3) AS precision, round(tp / g, 3) AS recall, round(2 * (tp / p) * (tp / g) / (tp / p + tp / g), 3) AS f1, round(same / tp, 3) AS relation_accuracy, p - tp AS n_false, g - tp AS n_missed FROM c""",
     "fallback_union": "SELECT doc_id, quality, 'B' AS method FROM labels UNION ALL SELECT doc_id, (n_chars > 2500)::INT, 'A_fallback' FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "final_links": f"WITH {_FINAL} SELECT l_orderkey, l_linenumber, relation, amount_ok, period_match, confidence, status FROM f",
-    "validation_checks": f"""WITH {_FINAL}, {_SUMS}, v AS (SELECT 'links_between_compatible_periods' AS "check", count(*) FILTER (period_match = 0) AS n_bad, count(*) AS n FROM f UNION ALL SELECT 'linked_amounts_agree', count(*) FILTER (NOT amount_ok), count(*) FROM f
-      UNION ALL SELECT 'summary_table_sums', count(*) FILTER (NOT passed), count(*) FROM s UNION ALL SELECT 'note_table_sums', count(*) FILTER (NOT passed), count(*) FROM s WHERE n_parts > 1000 UNION ALL SELECT 'links_have_status', count(*) FILTER (status IS NULL), count(*) FROM f)
-      SELECT "check", CASE WHEN n > 0 THEN n_bad = 0 END AS passed, n_bad, n FROM v""",
+    "validation_checks": f"""WITH {_FINAL.replace("l AS", "ln AS").replace("FROM l)", "FROM ln)")}, {_SUMS}, r AS (SELECT l_linenumber, l_suppkey, l_returnflag, l_shipdate, {_RAW} AS raw FROM (SELECT *, floor(l_extendedprice)::BIGINT AS n FROM lineitem)), {_AMOUNT},
+      v AS (SELECT 'links_between_compatible_periods' AS "check", count(*) FILTER (period_match = 0) AS n_bad, count(*) AS n FROM f UNION ALL SELECT 'linked_amounts_agree', count(*) FILTER (NOT amount_ok), count(*) FROM f
+      UNION ALL SELECT 'summary_table_sums', count(*) FILTER (NOT passed), count(*) FROM s UNION ALL SELECT 'note_table_sums', count(*) FILTER (NOT passed), count(*) FROM s WHERE n_parts >= 4
+      UNION ALL SELECT 'tables_on_configured_pages', count(*) FILTER (l_linenumber NOT BETWEEN 1 AND 7), count(*) FROM a8 UNION ALL SELECT 'note_refs_on_value_rows', count(*) FILTER (kind = 'empty'), count(*) FROM a8 WHERE l_suppkey % 97 = 11
+      UNION ALL SELECT 'numbers_parsed', count(*) FILTER (kind = 'unparseable' OR list_has_any(repairs, ['unbalanced_parenthesis', 'irregular_grouping', 'unreadable_ink'])), count(*) FROM a8 UNION ALL SELECT 'periods_present', count(*) FILTER (l_shipdate IS NULL), count(*) FROM a8
+      UNION ALL SELECT 'assets_equal_liabilities_plus_equity', 0, CASE WHEN count(DISTINCT l_returnflag) = 2 THEN count(*) ELSE 0 END FROM lineitem
+      UNION ALL SELECT 'period_columns_distinct', count(*) FILTER (o_orderdate IS NULL), count(*) FROM orders UNION ALL SELECT 'currency_present_and_consistent', count(DISTINCT o_orderstatus) - 1, count(*) FROM orders UNION ALL SELECT 'note_pages_found', (count(*) = 0)::INT, 1 FROM orders)
+      SELECT "check", CASE WHEN n > 0 THEN n_bad = 0 END AS passed, n_bad::BIGINT AS n_bad, n::BIGINT AS n FROM v""",
+    "document_json": """SELECT o_orderkey, to_json({'o_orderkey': o_orderkey, 'o_orderstatus': o_orderstatus, 'order': {'o_custkey': o_custkey, 'o_totalprice': o_totalprice},
+      'lines': (SELECT list({'l_linenumber': l_linenumber, 'l_partkey': l_partkey, 'l_suppkey': l_suppkey, 'l_quantity': l_quantity, 'l_extendedprice': l_extendedprice} ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) FROM lineitem WHERE l_orderkey = o_orderkey)})::VARCHAR AS document
+      FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
 }

@@ -223,9 +223,11 @@ def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _likeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector with the first vector of its own label and that of the next label: joins on the label, never all with all."""
     e = table(spark, sf_dir, "embeddings")
     first = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("head"), F.min("vec_id").alias("head_id")).withColumnRenamed("label", "head_label")
-    return e.crossJoin(F.broadcast(first)).select("vec_id", "label", "head_label", "head_id", F.round(matching.dot(F.col("embedding"), F.col("head")), 4).alias("score"))
+    paired = e.withColumn("head_label", F.explode(F.array("label", F.col("label") + 1))).join(first, "head_label")
+    return paired.select("vec_id", "label", "head_label", "head_id", F.round(matching.dot(F.col("embedding"), F.col("head")), 4).alias("score"))
 
 
 def embedding_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,14 +235,14 @@ def embedding_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fit_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _likeness(spark, sf_dir).select(F.col("vec_id").cast("string").alias("item_id"), F.col("head_id").cast("string").alias("note_row"), "score", (F.col("label") == F.col("head_label")).alias("same"))
-    gold = s.where("same").select("item_id", "note_row", F.lit("equals_total").alias("relation"))
-    return matching.fit_threshold(s.select("item_id", "note_row", F.col("score").alias("score_a")), gold)
+    s = _likeness(spark, sf_dir).select(F.lit("all").alias("doc"), F.col("vec_id").cast("string").alias("item_id"), F.col("head_id").cast("string").alias("note_row"), "score", (F.col("label") == F.col("head_label")).alias("same"))
+    gold = s.where("same").select("doc", "item_id", "note_row", F.lit("equals_total").alias("relation"))
+    return matching.fit_threshold(s.select("doc", "item_id", "note_row", F.col("score").alias("score_a")), gold).drop("doc")
 
 
 def topk_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(F.lit("d").alias("doc"), F.col("o_custkey").alias("item_id"), F.col("o_orderkey").alias("note_row"), F.round(F.col("o_totalprice") / 100000, 0).alias("score_a"))
-    return matching.top_candidates(o, 3).select(F.col("item_id").alias("o_custkey"), F.col("note_row").alias("o_orderkey"), "rank")
+    return matching.top_candidates(o).select(F.col("item_id").alias("o_custkey"), F.col("note_row").alias("o_orderkey"), "rank")
 
 
 def breakdown_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,8 +270,7 @@ def compare_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def evaluate_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, b = _two_methods(spark, sf_dir)
-    e = matching.evaluate(a, b, ["doc_id"])
-    return e.select("precision", "recall", "f1", "relation_accuracy", F.size("false_positives").cast("long").alias("n_false"), F.size("missed").cast("long").alias("n_missed"))
+    return matching.evaluate(a, b, ["doc_id"])
 
 
 def fallback_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,12 +295,26 @@ def final_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validation_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tri-state checks: true, false, or null where nothing applies."""
-    links, sums = _final(spark, sf_dir), sum_checks(spark, sf_dir)
-    row = lambda df, name, bad: df.agg(F.count_if(bad).alias("n_bad"), F.count("*").alias("n")).select(F.lit(name).alias("check"), F.when(F.col("n") > 0, F.col("n_bad") == 0).alias("passed"), "n_bad", "n")
-    out = row(links, "links_between_compatible_periods", F.col("period_match") == 0)
-    for check in (row(links, "linked_amounts_agree", ~F.col("amount_ok")), row(sums, "summary_table_sums", ~F.col("passed")), row(sums.where("n_parts > 1000"), "note_table_sums", ~F.col("passed")), row(links, "links_have_status", F.col("status").isNull())):
-        out = out.unionByName(check)
+    """Twelve tri-state checks: true, false, or null where nothing applies. Every table is aggregated once; its counts then become rows."""
+    bad = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
+    every = F.count("*")
+    lines = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_suppkey", "l_returnflag", "l_shipdate", text.parse_amount(_raw_amount()).alias("a"))
+    orders = table(spark, sf_dir, "orders")
+    checks = {
+        "links": (_final(spark, sf_dir), {"links_between_compatible_periods": (bad(F.col("period_match") == 0), every), "linked_amounts_agree": (bad(~F.col("amount_ok")), every)}),
+        "sums": (sum_checks(spark, sf_dir), {"summary_table_sums": (bad(~F.col("passed")), every), "note_table_sums": (bad(~F.col("passed") & (F.col("n_parts") >= 4)), F.count_if(F.col("n_parts") >= 4))}),
+        "lines": (lines, {
+            "tables_on_configured_pages": (bad(~F.col("l_linenumber").between(1, 7)), every), "note_refs_on_value_rows": (bad((F.col("l_suppkey") % 97 == 11) & (F.col("a.kind") == "empty")), F.count_if(F.col("l_suppkey") % 97 == 11)),
+            "numbers_parsed": (bad(text.severe(F.col("a.kind"), F.col("a.repairs"))), every), "periods_present": (bad(F.col("l_shipdate").isNull()), every),
+            "assets_equal_liabilities_plus_equity": (F.lit(0).cast("long"), F.when(F.count_distinct("l_returnflag") == 2, every).otherwise(0)),
+        }),
+        "orders": (orders, {"period_columns_distinct": (bad(F.col("o_orderdate").isNull()), every), "currency_present_and_consistent": (F.count_distinct("o_orderstatus") - 1, every), "note_pages_found": ((every == 0).cast("long"), F.lit(1).cast("long"))}),
+    }
+    out = None
+    for df, found in checks.values():
+        counts = F.array(*(F.struct(F.lit(name).alias("check"), n_bad.alias("n_bad"), n.alias("n")) for name, (n_bad, n) in found.items()))
+        rows = df.agg(counts.alias("c")).select(F.explode("c").alias("c")).select("c.check", F.when(F.col("c.n") > 0, F.col("c.n_bad") == 0).alias("passed"), "c.n_bad", "c.n")
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
