@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; only where the session names none (tests) a folder of our own."""
+    """The shared folder of the cluster; only where a local session names none (tests) a folder of our own."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         named = f"file://{tempfile.mkdtemp(prefix='tallyforge-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
