@@ -12,8 +12,8 @@ from tallyforge.llm.storage import written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language can be told (null texts and texts without a letter) go, at any score; a missing label is filled in, if there are labels to learn from."""
-    known = language_hd.prototypes(docs.where(language_hd.fold("doc_id") != 2))
+    """Documents in which no language can be told (null texts and texts without a letter) go, at any score; a missing label is filled in, if there are labels to learn from (all are used)."""
+    known = language_hd.prototypes(docs)
     if not known:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = language_hd.predictions(docs.select(F.struct("*").alias("row"), "text"), known).where(F.col("lang_pred") != language_hd.UNDETERMINED)
