@@ -292,14 +292,14 @@ def refined(keyed: DataFrame, sets: DataFrame, large: DataFrame) -> DataFrame:
     mine = written(keyed.join(large.select(F.col("u").alias("rid")), "rid", "left_semi"), "large-bands")
     about = sets.join(large.select(F.col("u").alias("rid")), "rid", "left_semi").select("rid", "n", "sig")
     about = written(about, "large-sets")
-    hubs = mine.groupBy("band").agg(F.min("rid").alias("v"))
+    hubs = written(mine.groupBy("band").agg(F.min("rid").alias("v")), "hubs")
     first = mine.join(hubs, "band").where("rid <> v").select(F.col("rid").alias("u"), "v").distinct()
     hub = about.select(F.col("rid").alias("v"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"))
     near = written(first.join(about.withColumnRenamed("rid", "u"), "u").join(hub, "v").mapInArrow(_near, "u long, v long"), "hub-edges")
     parts = components(near)
     parted = mine.join(parts.select(F.col("u").alias("rid"), "root"), "rid", "left").select("rid", "band", F.coalesce("root", "rid").alias("part"))
     parted = written(parted, "parted")
-    open_ = parted.groupBy("band").agg(F.count("*").alias("size"), F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("band", "size")
+    open_ = written(parted.groupBy("band").agg(F.count("*").alias("size"), F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("band", "size"), "open-bands")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = parted.join(open_, "band").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     spread = rows.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "part").join(about, "rid")
