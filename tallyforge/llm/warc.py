@@ -34,6 +34,8 @@ LEAST_REVISIT = 100
 ARCHIVE_BYTES = 64 << 20
 #: Ranges with at most this gap are read together, up to the larger number of bytes.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+#: Compressed bytes that a reading task is given, about; an archive is read by one task.
+TASK_BYTES = 16 << 20
 #: Most repeated digests (about 100 bytes each) that are broadcast; beyond it the same join shuffles.
 BROADCAST_ROWS = 500_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -151,7 +153,10 @@ def _reader(folder: str):
 
 def read_records(selected: DataFrame, folder: str) -> DataFrame:
     """The records of selected index rows: (page, record_type, refers, payload_bytes, payload_digest, payload); an archive's rows are read in order by one task."""
-    rows = selected.select("archive", "offset", "length").repartition("archive").sortWithinPartitions("archive", "offset")
+    # the index is small where the archives aren't, so its bytes can't tell how many tasks are needed
+    sizes = selected.agg(F.count_distinct("archive").alias("archives"), F.sum("length").alias("bytes")).first()
+    tasks = max(1, min(sizes["archives"], max(-(-(sizes["bytes"] or 0) // TASK_BYTES), selected.sparkSession.sparkContext.defaultParallelism)))
+    rows = selected.select("archive", "offset", "length").repartition(tasks, "archive").sortWithinPartitions("archive", "offset")
     return rows.mapInArrow(_reader(folder), "page string, record_type string, refers string, payload_bytes long, payload_digest string, payload binary")
 
 
