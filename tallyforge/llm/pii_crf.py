@@ -33,7 +33,7 @@ from tallyforge.llm.storage import bounded_batches
 
 KINDS = ("email", "ip", "card", "phone")
 #: Distinct texts that the model is fitted on, the most characters of one, and the rows (of least hash) that are searched for them.
-SAMPLE, SAMPLE_CHARS, POOL = 2000, 20_000, 200_000
+SAMPLE, SAMPLE_CHARS, POOL = 2000, 20_000, 60_000
 #: Log potentials of a skip edge before anything is learned (same kind, both none, one none, two kinds); those of a chain edge are 0, and held there more firmly.
 PRIOR = (1.0, 1.0, -1.0, -1.0)
 RIDGE = (0.003, 0.0001)
