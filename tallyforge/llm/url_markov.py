@@ -32,7 +32,7 @@ FOLDS = 4
 FLOOR = 1 / 256
 #: URLs that a task takes apart; their grams are some fifty times as many rows.
 TASK_URLS = 8192
-#: Most distinct grams (about 155 bytes each) that are broadcast to the positions; beyond it the same join shuffles.
+#: Most distinct grams (about 155 bytes each) that are broadcast to the positions, the commonest first; the positions of all others are shuffled to theirs.
 BROADCAST_ROWS = 300_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -105,12 +105,19 @@ def gram_scores(grams: DataFrame, fitted: DataFrame) -> DataFrame:
 def scored(urls: DataFrame, fitted: DataFrame) -> DataFrame:
     """Distinct non-empty ``urls(url)`` to (url, score, unseen), means over the positions by the models of all labelled URLs and by those without the URL's fold."""
     at = _dealt(urls.select("url")).select("url", fold(F.col("url")).alias("fold"), F.explode(_grams(F.col("url"))).alias("g"))
-    table = written(gram_scores(at.select("g").distinct(), fitted), "url-grams")
-    if table.count() <= BROADCAST_ROWS:
-        table = F.broadcast(table)
+    seen = written(at.groupBy("g").agg(F.count("*").alias("often")), "url-seen")
+    table = written(gram_scores(seen, fitted).join(seen, "g"), "url-grams")
+    running = table.groupBy("often").count().select("often", F.sum("count").over(Window.orderBy(F.desc("often"))).alias("upto"))
+    least, grams = running.agg(F.min(F.when(F.col("upto") <= BROADCAST_ROWS, F.col("often"))), F.max("upto")).first()
+    common = F.lit(False) if least is None else F.col("often") >= least
     unseen = reduce(lambda c, f: c.when(F.col("fold") == f, F.col(f"s{f}")), range(1, FOLDS), F.when(F.col("fold") == 0, F.col("s0")))
-    mean = lambda c: F.round(F.avg(F.round(c, 9).cast("decimal(20,9)")).cast("double"), 9)
-    return at.join(table, "g").groupBy("url").agg(mean(F.col(f"s{FOLDS}")).alias("score"), mean(unseen).alias("unseen"))
+    exact = lambda c: F.sum(F.round(c, 9).cast("decimal(20,9)"))
+    sums = lambda df: df.groupBy("url").agg(exact(F.col(f"s{FOLDS}")).alias("score"), exact(unseen).alias("unseen"), F.count("*").alias("n"))
+    found = sums(at.join(F.broadcast(table.where(common).drop("often")), "g"))
+    if grams is not None and (least is None or grams > BROADCAST_ROWS):
+        rare = at.join(F.broadcast(table.where(common).select("g")), "g", "left_anti").join(table.where(~common).drop("often"), "g")
+        found = found.unionByName(sums(rare)).groupBy("url").agg(*(F.sum(c).alias(c) for c in ("score", "unseen", "n")))
+    return found.select("url", *(F.round(F.col(c).cast("double") / F.col("n"), 9).alias(c) for c in ("score", "unseen")))
 
 
 def threshold(labelled_scores: DataFrame) -> float:
