@@ -41,6 +41,8 @@ TOLERANCE = 1e-7
 BLOCK = 1024
 #: Most ids (16 bytes each) that are broadcast to pick texts; beyond it the same join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Most sets whose MinHash values (some 300 bytes each) are broadcast to the pairs of large components; beyond it the same joins shuffle.
+BROADCAST_SETS = 20_000
 
 _rng = np.random.default_rng(20240607)
 _A = (_rng.integers(1, 1 << 32, HASHES, dtype=np.uint64) | 1).astype(np.uint32)
@@ -285,24 +287,25 @@ def _bridges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rid[x[i[first]]]), pa.array(rid[y[j[first]]])], names=["u", "v"])
 
 
-def refined(keyed: DataFrame, sets: DataFrame, large: DataFrame) -> DataFrame:
+def refined(sets: DataFrame, large: DataFrame) -> DataFrame:
     """(u, root) of the sets in ``large(u, comp)``, connected by surviving pairs only; sets without one are left out.
 
-    ``keyed(rid, band)`` has all bands that several sets share, ``sets(rid, n, sig)`` the values."""
-    mine = written(keyed.join(large.select(F.col("u").alias("rid")), "rid", "left_semi"), "large-bands")
-    about = sets.join(large.select(F.col("u").alias("rid")), "rid", "left_semi").select("rid", "n", "sig")
-    about = written(about, "large-sets")
-    hubs = written(mine.groupBy("band").agg(F.min("rid").alias("v")), "hubs")
-    first = mine.join(hubs, "band").where("rid <> v").select(F.col("rid").alias("u"), "v").distinct()
+    ``sets(rid, n, bands, sig)`` has the values. ``large`` holds whole components: whoever shares a band with one of its sets is in it, so its own bands tell which are shared."""
+    known = written(sets.join(large.select(F.col("u").alias("rid")), "rid", "left_semi").select("rid", "n", "sig", "bands"), "large-sets")
+    bands, about = known.select("rid", F.explode("bands").alias("band")), known.select("rid", "n", "sig")
+    hubs = written(bands.groupBy("band").agg(F.min("rid").alias("v"), F.max("rid").alias("last")).where("v < last").select("band", "v"), "hubs")
+    mine = written(bands.join(hubs, "band"), "large-bands")
+    beside = F.broadcast if large.count() <= BROADCAST_SETS else lambda df: df
+    first = mine.where("rid <> v").select(F.col("rid").alias("u"), "v").distinct()
     hub = about.select(F.col("rid").alias("v"), F.col("n").alias("hub_n"), F.col("sig").alias("hub_sig"))
-    near = written(first.join(about.withColumnRenamed("rid", "u"), "u").join(hub, "v").mapInArrow(_near, "u long, v long"), "hub-edges")
+    near = written(first.join(beside(about.withColumnRenamed("rid", "u")), "u").join(beside(hub), "v").mapInArrow(_near, "u long, v long"), "hub-edges")
     parts = components(near)
     parted = mine.join(parts.select(F.col("u").alias("rid"), "root"), "rid", "left").select("rid", "band", F.coalesce("root", "rid").alias("part"))
     parted = written(parted, "parted")
     open_ = written(parted.groupBy("band").agg(F.count("*").alias("size"), F.min("part").alias("a"), F.max("part").alias("b")).where("a < b").select("band", "size"), "open-bands")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = parted.join(open_, "band").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = rows.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "part").join(about, "rid")
+    spread = rows.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "part").join(beside(about), "rid")
     more = spread.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(_bridges, "u long, v long")
     return components(near.unionByName(more))
 
@@ -328,7 +331,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = written(found.groupBy("comp").agg(F.count("*").alias("members")), "component-sizes")
     if sizes.where(F.col("members") > BLOCK).count():
         large = written(found.join(sizes.where(F.col("members") > BLOCK), "comp").select("u", "comp"), "large-components")
-        split = refined(keyed.join(crowded.select("band"), "band", "left_semi"), sets, large).withColumnRenamed("root", "comp")
+        split = refined(sets, large).withColumnRenamed("root", "comp")
         found = written(found.join(sizes.where(F.col("members") <= BLOCK), "comp").select("u", "comp").unionByName(split.select("u", "comp")), "refined")
         sizes = written(found.groupBy("comp").agg(F.count("*").alias("members")), "component-sizes")
     members = written(found.join(sizes, "comp").join(sets.select(F.col("rid").alias("u"), "cid", "set_a", "mult", "sig"), "u").withColumnRenamed("u", "rid"), "members")

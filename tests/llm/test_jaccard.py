@@ -3,6 +3,7 @@ import re
 
 import networkx_free as nx
 
+from tallyforge.llm import graph
 from tallyforge.llm import jaccard_join as jj
 
 
@@ -68,6 +69,25 @@ def test_chain_of_boilerplate(spark, monkeypatch):
     assert sizes[0] > 24 and sizes[2] == 3  # of the candidates, and of what survives
 
 
+def test_large_components_take_few_stages(spark, monkeypatch):
+    """Few candidate edges take no round on the cluster, and large components give the same whether their values are broadcast or shuffled."""
+    rng = random.Random(9)
+    rows, shared = [], [f"p{k}" for k in range(200)]
+    for d in range(12):
+        words = [*shared, *(f"o{d}_{k}" for k in range(100))]
+        rows.append((len(rows), " ".join(words)))
+        words[rng.randrange(len(words))] = "x"
+        rows.append((len(rows), " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(jj, "BLOCK", 5)
+    names, put = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df, name: names.append(name) or put(df, name))
+    for most in (20_000, 0):
+        monkeypatch.setattr(jj, "BROADCAST_SETS", most)
+        assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jj.jaccard_classes(df).collect()} == brute(rows)
+    assert names.count("edges") == 8 and "minima" not in names  # four graphs a run: of bands, hubs, bridges and links
+
+
 def test_dense_and_sparse_overlaps_agree():
     import numpy as np
 

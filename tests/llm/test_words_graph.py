@@ -1,3 +1,4 @@
+import random
 import re
 
 import networkx_free as nx
@@ -5,6 +6,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tallyforge.llm import graph
 from tallyforge.llm.graph import components
 from tallyforge.llm.words import grams, shingle_sets, slices, words
 
@@ -48,3 +50,21 @@ def test_components(spark):
     got = {r["u"]: r["root"] for r in components(df).collect()}
     assert got == nx.roots([e for e in edges if e[0] != e[1]])
     assert components(df.limit(0)).count() == 0
+
+
+def test_few_edges_are_settled_in_one_task(spark, monkeypatch):
+    """Up to TASK_EDGES edges no round runs; beyond it rounds do, down to that number or to the end, with the same roots."""
+    rng = random.Random(3)
+    edges = [(rng.randrange(100), rng.randrange(100)) for _ in range(800)] + [(i, i + 1) for i in range(1000, 1060)] + [(2000, i) for i in range(1900, 2000)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    expected = nx.roots([e for e in edges if e[0] != e[1]])
+    rounds, star = [], graph._large_star
+    monkeypatch.setattr(graph, "_large_star", lambda e: rounds.append(1) or star(e))
+    taken = {}
+    for most in (500_000, 400, 0):
+        monkeypatch.setattr(graph, "TASK_EDGES", most)
+        rounds.clear()
+        got = [(r["u"], r["root"]) for r in components(df).collect()]
+        assert dict(got) == expected and len(got) == len(expected)
+        taken[most] = len(rounds)
+    assert taken[500_000] == 0 < taken[400] < taken[0]
